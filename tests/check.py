@@ -18,6 +18,9 @@ TABLES = (
 ).split()
 
 
+TIMES: dict[str, float] = {}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -38,8 +41,10 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
 
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, int, str]:
     """(equal, rows, message) of one query."""
+    start = time.time()
     df = entry.queries()[name](spark, sf_dir)
     ours = rows_of(df.columns, df.collect())
+    TIMES[name] = time.time() - start
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return True, len(ours), "no SQL"
@@ -71,5 +76,5 @@ if __name__ == "__main__":
         except Exception as error:  # report and go on with the next query
             same, count, note = False, -1, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += not same
-        print(f"{'ok ' if same and count else 'BAD'} {query:28} {count:7} rows {time.time() - start:6.2f}s {note[:1800]}", flush=True)
+        print(f"{'ok ' if same and count else 'BAD'} {query:28} {count:7} rows {TIMES.get(query, 0):6.2f}s of {time.time() - start:6.2f}s {note[:1800]}", flush=True)
     print(f"{bad} differ; without SQL: {sorted(set(entry.queries()) - set(entry.oracle_sql()))}")

@@ -86,13 +86,14 @@ def _match_grouped(candidates: DataFrame) -> DataFrame:
 
 def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None) -> DataFrame:
     one = F.lit(1).cast("bigint")
+    queue = ["post_id", "g"]
     ranked = cut_lineage(
         rank_in_group(candidates, ["post_id"], by_score(), "pos", max_rows).select(
             "post_id", "comment_id", "parent_id", "is_question", "pos"
         )
     )
     answers = ranked.filter("not is_question").select("post_id", F.col("parent_id").alias("g"), "pos", "comment_id")
-    queued = running(answers.filter(F.col("g").isNotNull()), ["post_id", "g"], "pos", "j", F.sum, one, block=block)
+    queued = running(answers.filter(F.col("g").isNotNull()), queue, "pos", {"j": (F.sum, one)}, block=block)
     queued = cut_lineage(queued)
     sizes = queued.groupBy("post_id", "g").agg(F.count(F.lit(1)).alias("size"))
 
@@ -120,7 +121,6 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
         .distinct()
     )
     queued = cut_lineage(lookup_join(queued, wanted, ["post_id", "g"], "left_semi", max_rows))
-    queue = ["post_id", "g"]
     while True:
         requests = state.filter("size1 is not null").select(
             "post_id", F.col("question").alias("g"), "t", F.lit(1).alias("kind"), "pointer", F.col("size1").alias("size")
@@ -129,18 +129,22 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
                 "post_id", F.col("g2").alias("g"), "t", F.lit(2).alias("kind"), "pointer", F.col("size2").alias("size")
             )
         )
-        # queue members passed by the pointer, counted once per distinct pointer position
-        marks = requests.select(*queue, F.col("pointer").alias("pos")).distinct().withColumn("_mark", F.lit(1))
-        merged = queued.select(*queue, "pos", F.lit(0).alias("_mark")).unionByName(marks)
+        # queue members passed by the pointer, counted for the first request at each pointer position; the count never
+        # falls, so a running maximum hands it to the later requests at the same position
+        marks = requests.groupBy(*queue, F.col("pointer").alias("pos")).agg(F.min("t").alias("t"))
+        merged = queued.select(*queue, "pos", F.lit(None).cast("bigint").alias("t"), F.lit(0).alias("_mark"))
+        merged = merged.unionByName(marks.withColumn("_mark", F.lit(1)))
         passed = (
-            running(merged, queue, "pos", "passed", F.sum, 1 - F.col("_mark"), ties=["_mark"], block=block)
+            running(merged, queue, "pos", {"_passed": (F.sum, 1 - F.col("_mark"))}, ties=["_mark"], block=block)
             .filter("_mark = 1")
-            .select(*queue, F.col("pos").alias("pointer"), "passed")
+            .select(*queue, "t", "_passed")
         )
-        requests = lookup_join(requests, passed, [*queue, "pointer"], "left", max_rows)
-        requests = running(requests, queue, "t", "i", F.sum, one, ties=["kind"], block=block)
-        requests = requests.withColumn("_ahead", F.col("passed") - F.col("i") + 1)
-        requests = running(requests, queue, "t", "_most", F.max, F.col("_ahead"), ties=["kind"], block=block)
+        requests = requests.join(passed, [*queue, "t"], "left")
+        requests = running(
+            requests, queue, "t", {"i": (F.sum, one), "passed": (F.max, F.col("_passed"))}, ties=["kind"], block=block
+        )
+        ahead = F.col("passed") - F.col("i") + 1
+        requests = running(requests, queue, "t", {"_most": (F.max, ahead)}, ties=["kind"], block=block)
         served = (
             requests.withColumn("j", F.col("i") + F.greatest("_most", F.lit(0)))
             .filter("j <= size")
@@ -154,13 +158,15 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
             F.coalesce("_got.kind", F.lit(3)).alias("tier_new"),
             F.col("_got.comment_id").alias("taken"),
         )
-        fallback = running(nxt.filter("tier_new = 3").select("post_id", "t"), ["post_id"], "t", "k", F.sum, one, block=block)
+        fallback = running(
+            nxt.filter("tier_new = 3").select("post_id", "t"), ["post_id"], "t", {"k": (F.sum, one)}, block=block
+        )
         free = answers.join(served.select("post_id", "pos"), ["post_id", "pos"], "left_anti")
-        free = running(free, ["post_id"], "pos", "k", F.sum, one, block=block)
+        free = running(free, ["post_id"], "pos", {"k": (F.sum, one)}, block=block)
         falls = fallback.join(free.select("post_id", "k", "pos", F.col("comment_id").alias("free")), ["post_id", "k"], "left")
         falls = falls.select("post_id", "t", "free", F.coalesce("pos", F.lit(_END)).alias("_moved"))
         nxt = nxt.join(falls, ["post_id", "t"], "left")
-        nxt = running(nxt, ["post_id"], "t", "_pointer", F.max, F.col("_moved"), inclusive=False, block=block)
+        nxt = running(nxt, ["post_id"], "t", {"_pointer": (F.max, F.col("_moved"))}, inclusive=False, block=block)
         nxt = nxt.withColumn("pointer_new", F.coalesce("_pointer", F.lit(0).cast("bigint")))
         nxt = nxt.withColumn("answer_new", F.coalesce("taken", "free"))
         moved = (

@@ -85,7 +85,8 @@ def write_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """One directory per sheet, written in parallel; CSV carries the header and quotes embedded line breaks."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(header=True, escape='"', quoteAll=True, **keep).csv(path)
     else:
         writer.format(fmt).save(path)
 

@@ -94,34 +94,32 @@ def running(
     df: DataFrame,
     group: Sequence[str],
     pos: str,
-    name: str,
-    fn,
-    col: Column,
+    aggs: dict[str, tuple],
     ties: Sequence[str] = (),
     inclusive: bool = True,
     block: int | None = None,
 ) -> DataFrame:
-    """Running `fn` (F.sum or F.max) per group along the whole-number position `pos`.
+    """Running aggregates `{name: (F.sum or F.max, column)}` per group along the whole-number position `pos`.
 
     Each group is cut into position blocks: block totals are carried forward, and the window only ever covers one block.
     """
     rows = df.withColumn("_b", F.floor(F.col(pos) / F.lit(block or BLOCK_ROWS)))
-    totals = rows.groupBy(*group, "_b").agg(fn(col).alias("_t"))
+    totals = rows.groupBy(*group, "_b").agg(*[fn(col).alias(f"_t_{n}") for n, (fn, col) in aggs.items()])
+    earlier = W.partitionBy(*group).orderBy("_b").rowsBetween(*_BEFORE)
     carried = totals.select(
         *[F.col(k).alias(f"_c_{k}") for k in [*group, "_b"]],
-        fn("_t").over(W.partitionBy(*group).orderBy("_b").rowsBetween(*_BEFORE)).alias("_carry"),
+        *[fn(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, (fn, _) in aggs.items()],
     )
     frame = (W.unboundedPreceding, W.currentRow if inclusive else -1)
     inner = W.partitionBy(*group, "_b").orderBy(pos, *ties).rowsBetween(*frame)
-    rows = rows.withColumn("_in", fn(col).over(inner))
+    rows = rows.withColumns({f"_i_{n}": fn(col).over(inner) for n, (fn, col) in aggs.items()})
     on = reduce(and_, [rows[k] == carried[f"_c_{k}"] for k in [*group, "_b"]])
-    zero = F.lit(0)
-    both = (
-        F.coalesce(F.col("_carry"), zero) + F.coalesce(F.col("_in"), zero)
-        if fn is F.sum
-        else F.greatest(F.col("_carry"), F.col("_in"))
-    )
-    return rows.join(carried, on, "left").select(*df.columns, both.alias(name))
+
+    def both(name: str, fn) -> Column:
+        parts = [F.col(f"_c_{name}"), F.col(f"_i_{name}")]
+        return F.greatest(*parts) if fn is F.max else sum((F.coalesce(x, F.lit(0)) for x in parts), F.lit(0))
+
+    return rows.join(carried, on, "left").select(*df.columns, *[both(n, fn).alias(n) for n, (fn, _) in aggs.items()])
 
 
 def lookup_join(

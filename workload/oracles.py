@@ -245,8 +245,8 @@ where "dataType" = 'comment'
 select *, case when p0 = '' or starts_with(p0, 't3_') then p0 else 't3_' || p0 end pid from nc0
 """,
     "nc2": """
-select *, coalesce(nullif("parentId", ''), nullif(nullif(parent_id, ''), '0'), nullif("replyToId", ''),
-                   nullif("parentCommentId", ''), pid) par from nc1
+select *, coalesce(nullif(nullif("parentId", ''), '0'), nullif(nullif(parent_id, ''), '0'), nullif(nullif("replyToId", ''), '0'),
+                   nullif(nullif("parentCommentId", ''), '0'), pid) par from nc1
 """,
     "nc3": """
 select *, case when par = '' or par[1:3] in ('t1_', 't3_') then par
@@ -313,19 +313,19 @@ oracle(
     "stream_load", "select distinct comment_id from nc union all select distinct post_id from np",
     "raw_posts_fx", "raw_comments_fx", **NORM_POSTS, **NORM_COMMENTS,
 )
-_KEPT = "select post_id from posts_fx order by created_utc desc, post_id limit 300"
+_KEPT = "select post_id from posts_fx order by created_utc desc, post_id limit 900"
 oracle(
     "cap_per_post",
     """select comment_id, post_id, score from (
          select *, row_number() over (partition by post_id order by coalesce(score, 0) desc, comment_id) rn
          from comments_fx where post_id in (select post_id from kept)) where rn <= 50
-       order by coalesce(score, 0) desc, comment_id limit 15000""",
+       order by coalesce(score, 0) desc, comment_id limit 45000""",
     "posts_fx", "comments_fx", kept=_KEPT,
 )
 oracle(
     "cap_total",
     """select comment_id, post_id, score from comments_fx where depth <= 5 and post_id in (select post_id from kept)
-       order by coalesce(score, 0) desc, comment_id limit 6000""",
+       order by coalesce(score, 0) desc, comment_id limit 18000""",
     "posts_fx", "comments_fx", kept=_KEPT,
 )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from threadlens.functions import text as tx
 from threadlens.operators import enrich, ingest as ing, maintain, matching, qa, reads, report, threads
 from threadlens.plans import workflow
-from threadlens.schemas import COMMENTS, ENRICHMENT_DEFAULTS, KEYS, PAIR_DEFAULTS, POSTS, RAW_COLUMNS, empty_table
+from threadlens.schemas import ENRICHMENT_DEFAULTS, KEYS, PAIR_DEFAULTS, RAW_COLUMNS, empty_table
 from threadlens.session import scratch_path
 from threadlens.sources.items import read_items
 from threadlens.sources.tables import Tables
@@ -39,15 +39,28 @@ def _iso(df: DataFrame) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    """Raw items of one kind in the full raw schema."""
     df = load(spark, sf, f"raw_{kind}_fx")
     return df.select(
         *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS], "load_no"
     )
 
 
-def _items(spark: SparkSession, sf: str) -> DataFrame:
-    return _raw(spark, sf, "posts").unionByName(_raw(spark, sf, "comments"))
+_DUMPS: dict[tuple[str, str], str] = {}
+
+
+def _dump(spark: SparkSession, sf: str) -> str:
+    """Raw items of both kinds as a JSON dump, one folder per load; written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _DUMPS:
+        path = scratch_path(spark, "dump")
+        both = _raw(spark, sf, "posts").unionByName(_raw(spark, sf, "comments"))
+        both.write.partitionBy("load_no").json(path)
+        _DUMPS[key] = path
+    return _DUMPS[key]
+
+
+def _items(spark: SparkSession, sf: str, load_no: int | str = "*") -> DataFrame:
+    return read_items(spark, f"{_dump(spark, sf)}/load_no={load_no}").drop("_corrupt_record")
 
 
 def _comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,9 +82,7 @@ _SHOWN = ["dataType", "id", "parsedId", "body", "author", "username", "score", "
 
 @query
 def read_items_dump(spark, sf):
-    path = scratch_path(spark, "items")
-    _items(spark, sf).drop("load_no").write.json(path)
-    return read_items(spark, path).select(*_SHOWN)
+    return _items(spark, sf).select(*_SHOWN)
 
 
 @query
@@ -96,7 +107,7 @@ def normalize_comments(spark, sf):
 
 @query
 def rejects(spark, sf):
-    posts, comments = ing.split_items(_items(spark, sf).drop("load_no"))
+    posts, comments = ing.split_items(_items(spark, sf))
     bad = ing.normalize_posts(posts, _now())[1].unionByName(ing.normalize_comments(comments, _now())[1])
     return bad.select("kind", "reason", F.get_json_object("raw", "$.body").alias("body"))
 
@@ -104,10 +115,10 @@ def rejects(spark, sf):
 def _loads(spark: SparkSession, sf: str, table: str) -> tuple[DataFrame, DataFrame]:
     """First and second load of one table, each as the rows it inserts."""
     normalize = {"posts": ing.normalize_posts, "comments": ing.normalize_comments}[table]
-    raw = ing.split_items(_items(spark, sf))[0 if table == "posts" else 1]
     stored, loads = empty_table(spark, table), []
     for number in (1, 2):
-        batch = normalize(raw.filter(F.col("load_no") == number), _now(), number)[0]
+        raw = ing.split_items(_items(spark, sf, number))[0 if table == "posts" else 1]
+        batch = normalize(raw, _now(), number)[0]
         loads.append(ing.insert_ignore(stored, batch, KEYS[table], workflow.ARRIVAL))
         stored = loads[-1]
     return loads[0], loads[1]
@@ -140,9 +151,9 @@ def ingest_summary(spark, sf):
 def fresh_load(spark, sf):
     """A fresh load over stored tables: what was stored before is gone."""
     tables = Tables(spark, scratch_path(spark, "tables"))
-    items, at = _items(spark, sf), dt.datetime.fromisoformat(INGEST_TS)
-    workflow.ingest(tables, items.filter("load_no = 1").drop("load_no"), "fresh", at)
-    workflow.ingest(tables, items.drop("load_no"), "fresh", at)
+    at = dt.datetime.fromisoformat(INGEST_TS)
+    workflow.ingest(tables, _items(spark, sf, 1), "fresh", at)
+    workflow.ingest(tables, _items(spark, sf), "fresh", at)
     return _iso(tables.read("comments"))
 
 
@@ -151,26 +162,22 @@ def stream_load(spark, sf):
     """The same dump as a file stream of several micro-batches, in two runs of one checkpoint."""
     tables = Tables(spark, scratch_path(spark, "tables"))
     dump, checkpoint = scratch_path(spark, "dump"), scratch_path(spark, "stream")
-    items, at = _items(spark, sf), dt.datetime.fromisoformat(INGEST_TS)
+    at = dt.datetime.fromisoformat(INGEST_TS)
     for number in (1, 2):
-        part = items.filter(F.col("load_no") == number).drop("load_no")
-        part.coalesce(2).write.mode("append").json(dump)
+        _items(spark, sf, number).write.mode("append").json(dump)
         ingest_stream(tables, dump, checkpoint, files_per_batch=2, ingest_ts=at).awaitTermination()
-    return tables.read("comments").select("comment_id", "post_id", "parent_id", "depth").unionByName(
-        tables.read("posts").select(
-            F.col("post_id").alias("comment_id"), "post_id", F.lit("").alias("parent_id"), F.lit(-1).alias("depth")
-        )
-    ).select("comment_id")
+    ids = tables.read("posts").select(F.col("post_id").alias("comment_id"))
+    return tables.read("comments").select("comment_id").unionByName(ids)
 
 
 @query
 def cap_per_post(spark, sf):
-    return ing.cap_per_post(_posts(spark, sf), _comments(spark, sf), 300)[1].select("comment_id", "post_id", "score")
+    return ing.cap_per_post(_posts(spark, sf), _comments(spark, sf), 900)[1].select("comment_id", "post_id", "score")
 
 
 @query
 def cap_total(spark, sf):
-    return ing.cap_total(_posts(spark, sf), _comments(spark, sf), 300)[1].select("comment_id", "post_id", "score")
+    return ing.cap_total(_posts(spark, sf), _comments(spark, sf), 900)[1].select("comment_id", "post_id", "score")
 
 
 # ---- table maintenance ----
