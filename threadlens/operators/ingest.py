@@ -146,7 +146,7 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, keys: Sequence[str], or
     """
     keys = list(keys)
     first = first_per_key(batch, keys, order)
-    known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
     return first.join(known, keys, "left_anti").select(*batch.columns)
 
 

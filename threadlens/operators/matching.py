@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from threadlens.operators.reads import by_score
-from threadlens.plans.skew import hot_keys, lookup_join, rank_in_group, running, split_hot
+from threadlens.plans.skew import BLOCK_ROWS, hot_keys, lookup_join, rank_in_group, running
 from threadlens.session import cut_lineage
 
 MATCHES = "post_id string, question_comment_id string, answer_comment_id string, tier int"
@@ -68,8 +68,12 @@ def _match_post(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["post_id", "question_comment_id", "answer_comment_id", "tier"])
 
 
-def _match_grouped(candidates: DataFrame) -> DataFrame:
-    """Window and grouped map share one exchange on post_id; posts without both kinds never reach Python."""
+def match_grouped(candidates: DataFrame) -> DataFrame:
+    """Matches of posts that fit one task each: post_id, question_comment_id, answer_comment_id, tier.
+
+    `candidates`: valid comments with post_id, comment_id, parent_id, score, is_question. Window and grouped map share
+    one exchange on post_id; posts without both kinds never reach Python.
+    """
     post = W.partitionBy("post_id")
     ranked = candidates.select(
         "post_id",
@@ -84,7 +88,8 @@ def _match_grouped(candidates: DataFrame) -> DataFrame:
     return ranked.groupBy("post_id").applyInPandas(_match_post, MATCHES)
 
 
-def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None) -> DataFrame:
+def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int = BLOCK_ROWS) -> DataFrame:
+    """The same matches for hot posts, by rounds."""
     one = F.lit(1).cast("bigint")
     queue = ["post_id", "g"]
     ranked = cut_lineage(
@@ -93,14 +98,16 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
         )
     )
     answers = ranked.filter("not is_question").select("post_id", F.col("parent_id").alias("g"), "pos", "comment_id")
-    queued = running(answers.filter(F.col("g").isNotNull()), queue, "pos", {"j": (F.sum, one)}, block=block)
+    # queues are cut into blocks only where some parent is hot itself; posts always are
+    queue_block = None if hot_keys(ranked, ["post_id", "parent_id"], max_rows) is None else block
+    queued = running(answers.filter(F.col("g").isNotNull()), queue, "pos", {"j": (F.sum, one)}, block=queue_block)
     queued = cut_lineage(queued)
     sizes = queued.groupBy("post_id", "g").agg(F.count(F.lit(1)).alias("size"))
 
     asks = ranked.filter("is_question").select(
         "post_id",
         F.col("comment_id").alias("question"),
-        F.when(F.col("parent_id").isNotNull() & (F.col("parent_id") != "") & (F.col("parent_id") != F.col("post_id")), F.col("parent_id")).alias("g2"),
+        F.when((F.col("parent_id") != "") & (F.col("parent_id") != F.col("post_id")), F.col("parent_id")).alias("g2"),
         F.col("pos").alias("t"),
     )
     own = sizes.select("post_id", F.col("g").alias("question"), F.col("size").alias("size1"))
@@ -135,16 +142,16 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
         merged = queued.select(*queue, "pos", F.lit(None).cast("bigint").alias("t"), F.lit(0).alias("_mark"))
         merged = merged.unionByName(marks.withColumn("_mark", F.lit(1)))
         passed = (
-            running(merged, queue, "pos", {"_passed": (F.sum, 1 - F.col("_mark"))}, ties=["_mark"], block=block)
+            running(merged, queue, "pos", {"_passed": (F.sum, 1 - F.col("_mark"))}, ties=["_mark"], block=queue_block)
             .filter("_mark = 1")
             .select(*queue, "t", "_passed")
         )
         requests = requests.join(passed, [*queue, "t"], "left")
         requests = running(
-            requests, queue, "t", {"i": (F.sum, one), "passed": (F.max, F.col("_passed"))}, ties=["kind"], block=block
+            requests, queue, "t", {"i": (F.sum, one), "passed": (F.max, F.col("_passed"))}, ties=["kind"], block=queue_block
         )
         ahead = F.col("passed") - F.col("i") + 1
-        requests = running(requests, queue, "t", {"_most": (F.max, ahead)}, ties=["kind"], block=block)
+        requests = running(requests, queue, "t", {"_most": (F.max, ahead)}, ties=["kind"], block=queue_block)
         served = (
             requests.withColumn("j", F.col("i") + F.greatest("_most", F.lit(0)))
             .filter("j <= size")
@@ -164,7 +171,7 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
         free = answers.join(served.select("post_id", "pos"), ["post_id", "pos"], "left_anti")
         free = running(free, ["post_id"], "pos", {"k": (F.sum, one)}, block=block)
         falls = fallback.join(free.select("post_id", "k", "pos", F.col("comment_id").alias("free")), ["post_id", "k"], "left")
-        falls = falls.select("post_id", "t", "free", F.coalesce("pos", F.lit(_END)).alias("_moved"))
+        falls = cut_lineage(falls.select("post_id", "t", "free", F.coalesce("pos", F.lit(_END)).alias("_moved")))
         nxt = nxt.join(falls, ["post_id", "t"], "left")
         nxt = running(nxt, ["post_id"], "t", {"_pointer": (F.max, F.col("_moved"))}, inclusive=False, block=block)
         nxt = nxt.withColumn("pointer_new", F.coalesce("_pointer", F.lit(0).cast("bigint")))
@@ -191,20 +198,3 @@ def _match_rounds(candidates: DataFrame, max_rows: int | None, block: int | None
         F.col("answer").alias("answer_comment_id"),
         F.col("tier").cast("int").alias("tier"),
     )
-
-
-def match_answers(candidates: DataFrame, hot: DataFrame | None, max_rows: int | None = None, block: int | None = None) -> DataFrame:
-    """post_id, question_comment_id, answer_comment_id, tier.
-
-    `candidates`: valid comments with post_id, comment_id, parent_id, score, is_question; `hot`: posts (post_id) that are
-    too large for one task, from `hot_keys`.
-    """
-    if hot is None:
-        return _match_grouped(candidates)
-    cold, big = split_hot(candidates, ["post_id"], hot)
-    return _match_grouped(cold).unionByName(_match_rounds(big, max_rows, block))
-
-
-def hot_posts(comments: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """Posts with more comments than one task should hold; reads only post_id."""
-    return hot_keys(comments, ["post_id"], max_rows)

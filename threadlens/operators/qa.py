@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadlens.functions import text as tx
 from threadlens.functions.vocab import TIERS
-from threadlens.operators.matching import hot_posts, match_answers
-from threadlens.operators.reads import by_score, cited_posts, posts_by_ids, ranked_comments
-from threadlens.plans.skew import lookup_join
+from threadlens.operators.matching import match_grouped, match_rounds
+from threadlens.operators.reads import posts_by_ids, ranked_comments
+from threadlens.plans.skew import BLOCK_ROWS, hot_keys, lookup_join, split_hot
 
 
 def to_comment(df: DataFrame) -> DataFrame:
@@ -76,6 +76,27 @@ def fallback_replies(comments: DataFrame, max_rows: int | None = None) -> DataFr
     return _tier(lookup_join(c.filter("is_question"), best, ["post_id"], "inner", max_rows))
 
 
+def match_answers(
+    comments: DataFrame, posts: DataFrame | None = None, max_rows: int | None = None, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """post_id, question_comment_id, answer_comment_id, tier by greedy matching without reuse.
+
+    `posts` (unique post_id) restricts the posts. The restriction is an inner join on slim columns: a semi-join would
+    be pushed below the text flags and shuffle the bodies. Its exchange on post_id also serves the matching.
+    """
+    hot = hot_keys(comments, ["post_id"], max_rows)
+    cold, big = (comments, None) if hot is None else split_hot(comments, ["post_id"], hot)
+    ids = None if posts is None else posts.select("post_id")
+    candidates = _candidates(cold)
+    matches = match_grouped(candidates if ids is None else candidates.join(ids, "post_id"))
+    if big is None:
+        return matches
+    candidates = _candidates(big)
+    if ids is not None:
+        candidates = candidates.join(F.broadcast(ids.join(F.broadcast(hot), "post_id", "left_semi")), "post_id")
+    return matches.unionByName(match_rounds(candidates, max_rows, block))
+
+
 def _by_tier(field: int) -> Column:
     col = F.lit(None)
     for tier, values in TIERS.items():
@@ -115,14 +136,12 @@ def generate_qa(
     comments: DataFrame,
     post_ids: Sequence[str] | DataFrame | None = None,
     max_rows: int | None = None,
-    block: int | None = None,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of all stored posts, or of the listed ones; an empty list means all. Orphan comments take no part."""
     whole = post_ids is None or (not isinstance(post_ids, DataFrame) and not len(post_ids))
     chosen = posts if whole else posts_by_ids(posts, post_ids)
-    comments = cited_posts(comments, chosen, max_rows)
-    hot = hot_posts(comments.select("post_id"), max_rows)
-    return qa_pairs(match_answers(_candidates(comments), hot, max_rows, block), comments)
+    return qa_pairs(match_answers(comments, chosen, max_rows, block), comments)
 
 
 def qa_summary(posts: DataFrame, pairs: DataFrame) -> DataFrame:

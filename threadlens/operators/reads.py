@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadlens.plans.skew import lookup_join, rank_in_group, top_n
+from threadlens.plans.skew import rank_in_group, top_n
 
 MAX_LITERAL_IDS = 1_000
 
@@ -53,8 +53,3 @@ def table_counts(**tables: DataFrame) -> DataFrame:
 def latest(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The last `n` rows by `order`, newest first."""
     return top_n(df, n, [F.col(c).desc() for c in order])
-
-
-def cited_posts(comments: DataFrame, posts: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Comments whose post is stored."""
-    return lookup_join(comments, posts.select("post_id").distinct(), ["post_id"], "left_semi", max_rows)

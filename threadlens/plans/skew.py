@@ -101,16 +101,21 @@ def running(
 ) -> DataFrame:
     """Running aggregates `{name: (F.sum or F.max, column)}` per group along the whole-number position `pos`.
 
-    Each group is cut into position blocks: block totals are carried forward, and the window only ever covers one block.
+    With `block`, each group is cut into blocks of that many positions: block totals are carried forward, and the window
+    only ever covers one block. Without it, one window per group does, which suits groups known to be cold.
     """
-    rows = df.withColumn("_b", F.floor(F.col(pos) / F.lit(block or BLOCK_ROWS)))
+    frame = (W.unboundedPreceding, W.currentRow if inclusive else -1)
+    if block is None:
+        whole = W.partitionBy(*group).orderBy(pos, *ties).rowsBetween(*frame)
+        out = {n: fn(col).over(whole) for n, (fn, col) in aggs.items()}
+        return df.withColumns({n: F.coalesce(c, F.lit(0)) if aggs[n][0] is F.sum else c for n, c in out.items()})
+    rows = df.withColumn("_b", F.floor(F.col(pos) / F.lit(block)))
     totals = rows.groupBy(*group, "_b").agg(*[fn(col).alias(f"_t_{n}") for n, (fn, col) in aggs.items()])
     earlier = W.partitionBy(*group).orderBy("_b").rowsBetween(*_BEFORE)
     carried = totals.select(
         *[F.col(k).alias(f"_c_{k}") for k in [*group, "_b"]],
         *[fn(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, (fn, _) in aggs.items()],
     )
-    frame = (W.unboundedPreceding, W.currentRow if inclusive else -1)
     inner = W.partitionBy(*group, "_b").orderBy(pos, *ties).rowsBetween(*frame)
     rows = rows.withColumns({f"_i_{n}": fn(col).over(inner) for n, (fn, col) in aggs.items()})
     on = reduce(and_, [rows[k] == carried[f"_c_{k}"] for k in [*group, "_b"]])
@@ -122,15 +127,12 @@ def running(
     return rows.join(carried, on, "left").select(*df.columns, *[both(n, fn).alias(n) for n, (fn, _) in aggs.items()])
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int | None = None
-) -> DataFrame:
-    """Join to a right side that is unique on `keys`, without piling a hot left key onto one task.
+def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None) -> DataFrame:
+    """Join to a right side that is unique on `keys`; `hot` holds the hot keys of the left side, if any.
 
     Right rows of hot keys (at most MAX_HOT_KEYS) are broadcast; all others use the ordinary join.
     """
     keys = list(keys)
-    hot = hot_keys(left, keys, max_rows)
     if hot is None:
         return left.join(right, keys, how)
     cold, big = split_hot(left, keys, hot)
@@ -138,6 +140,13 @@ def lookup_join(
     return cold.join(right, keys, how).unionByName(big.join(few, keys, how))
 
 
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int | None = None
+) -> DataFrame:
+    """`join_hot` with the hot keys of `left` looked up first."""
+    return join_hot(left, right, keys, how, hot_keys(left, keys, max_rows))
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """First `n` rows by `order`; a large `n` is cut by global position instead of merging candidates in one task."""
     if n <= MAX_LIMIT_ROWS:

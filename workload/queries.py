@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadlens.functions import text as tx
-from threadlens.operators import enrich, ingest as ing, maintain, matching, qa, reads, report, threads
+from threadlens.operators import enrich, ingest as ing, maintain, qa, reads, report, threads
 from threadlens.plans import workflow
 from threadlens.schemas import ENRICHMENT_DEFAULTS, KEYS, PAIR_DEFAULTS, RAW_COLUMNS, empty_table
 from threadlens.session import scratch_path
@@ -235,7 +235,7 @@ def apply_enrichment(spark, sf):
 @query
 def insert_pairs(spark, sf):
     """Pairs of two runs; the second only adds combinations that are not stored."""
-    stored = matching.match_answers(qa._candidates(_comments(spark, sf)), None).drop("tier")
+    stored = qa.match_answers(_comments(spark, sf)).drop("tier")
     again = qa.direct_replies(_comments(spark, sf)).unionByName(qa.fallback_replies(_comments(spark, sf)))
     keys = KEYS["qa_pairs"]
     return maintain.ensure_columns(ing.insert_ignore(stored, again.select(*stored.columns), keys), PAIR_DEFAULTS)
@@ -397,14 +397,12 @@ def fallback_replies(spark, sf):
 
 @query
 def match_answers(spark, sf):
-    return matching.match_answers(qa._candidates(_comments(spark, sf)), None)
+    return qa.match_answers(_comments(spark, sf))
 
 
 @query
 def match_answers_hot(spark, sf):
-    c = _comments(spark, sf)
-    hot = matching.hot_posts(c, HOT_ROWS)
-    return matching.match_answers(qa._candidates(c), hot, HOT_ROWS, HOT_ROWS)
+    return qa.match_answers(_comments(spark, sf), max_rows=HOT_ROWS, block=HOT_ROWS)
 
 
 @query
