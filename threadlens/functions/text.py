@@ -92,12 +92,13 @@ def word_tokens(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(f"{WORD_CLASS}+"), F.lit(0))
 
 
-def lexicon_score(cleaned: Column) -> Column:
-    """(positive - negative) / (positive + negative) over word tokens, 0 without a hit."""
-    hits = F.filter(word_tokens(cleaned), lambda t: t.isin(POSITIVE + NEGATIVE))
-    good = F.size(F.filter(hits, lambda t: t.isin(POSITIVE)))
-    total = F.size(hits)
-    return F.when(total > 0, round4((2 * good - total) / total)).otherwise(F.lit(0.0))
+def lexicon_hits(cleaned: Column) -> Column:
+    """Word tokens found in either word list."""
+    return F.filter(word_tokens(cleaned), lambda t: t.isin(POSITIVE + NEGATIVE))
+
+
+def positive_count(hits: Column) -> Column:
+    return F.size(F.filter(hits, lambda t: t.isin(POSITIVE)))
 
 
 def sentiment_label(score: Column) -> Column:

@@ -11,10 +11,21 @@ from threadlens.plans.skew import lookup_join
 MAX_BROADCAST_WORDS = 200_000
 
 
+def _with_lexicon_score(df: DataFrame, cleaned: str) -> DataFrame:
+    """Adds `sentiment_score`: (positive - negative) / (positive + negative), 0 without a hit.
+
+    Each step is a column of its own, so that no array is built twice.
+    """
+    df = df.withColumn("_h", tx.lexicon_hits(F.col(cleaned)))
+    df = df.withColumns({"_all": F.size("_h"), "_good": tx.positive_count(F.col("_h"))})
+    df = df.withColumn("_x", F.when(F.col("_all") > 0, (2 * F.col("_good") - F.col("_all")) / F.col("_all")).otherwise(0.0))
+    return df.withColumn("sentiment_score", tx.round4(F.col("_x"))).drop("_h", "_all", "_good", "_x")
+
+
 def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, sentiment_score by the built-in word lists."""
     cleaned = df.select(id_col, tx.clean_comment_text(F.col(text_col)).alias("_t"))
-    return cleaned.select(id_col, tx.lexicon_score(F.col("_t")).alias("sentiment_score"))
+    return _with_lexicon_score(cleaned, "_t").drop("_t")
 
 
 def label_sentiment(df: DataFrame, score: str = "sentiment_score") -> DataFrame:
@@ -37,7 +48,8 @@ def valence_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
         hits = lookup_join(tokens.groupBy(id_col, "_w").agg(F.count(F.lit(1)).alias("_n")), words, ["_w"], "left")
     x = F.coalesce(F.sum(F.col("_v") * F.col("_n")), F.lit(0)).cast("double")
     sums = hits.groupBy(id_col).agg(x.alias("_x"))
-    return sums.select(id_col, tx.round4(F.col("_x") / F.sqrt(F.col("_x") * F.col("_x") + 15)).alias("sentiment_score"))
+    scores = sums.withColumn("_y", F.col("_x") / F.sqrt(F.col("_x") * F.col("_x") + 15))
+    return scores.select(id_col, tx.round4(F.col("_y")).alias("sentiment_score"))
 
 
 def _with_top_words(df: DataFrame, tokens: Column, k: int) -> DataFrame:
@@ -88,7 +100,7 @@ def entity_lists(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def with_analysis(df: DataFrame, text: Column) -> DataFrame:
     """Overwrites sentiment_score, sentiment_label and keywords from `text`, row by row."""
     df = df.drop("sentiment_score", "sentiment_label", "keywords").withColumn("_t", tx.clean_comment_text(text))
-    df = with_keywords(df.withColumn("sentiment_score", tx.lexicon_score(F.col("_t"))), "_t")
+    df = with_keywords(_with_lexicon_score(df, "_t"), "_t")
     return label_sentiment(df).drop("_t")
 
 

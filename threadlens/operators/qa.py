@@ -32,9 +32,16 @@ def flag_text(comments: DataFrame) -> DataFrame:
 
 
 def _candidates(comments: DataFrame) -> DataFrame:
-    """Valid comments on slim columns; bodies end here."""
-    slim = comments.select("post_id", "comment_id", "parent_id", F.coalesce("score", F.lit(0)).alias("score"), "body")
-    return flag_text(slim).filter("is_valid").drop("body", "is_valid")
+    """Valid comments on slim columns with `is_question`; bodies end here.
+
+    The generator drops invalid rows after cleaning; a filter would be pushed below and run the unescaping twice.
+    """
+    slim = comments.select(
+        "post_id", "comment_id", "parent_id", F.coalesce("score", F.lit(0)).alias("score"),
+        tx.clean_comment_text(F.col("body")).alias("_t"),
+    )
+    flag = F.when(tx.is_valid_text(F.col("_t")), F.array(tx.is_question(F.col("_t"))))
+    return slim.select("post_id", "comment_id", "parent_id", "score", F.explode(flag).alias("is_question"))
 
 
 def qa_candidates(comments: DataFrame, max_rows: int | None = None) -> DataFrame:

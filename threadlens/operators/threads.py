@@ -62,7 +62,7 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
             F.col("thread_id").alias("_thread"),
             F.col("done").alias("_done"),
         )
-        step = lookup_join(pending, known, ["post_id", "anc"], "inner", max_rows)
+        step = lookup_join(pending, known, ["post_id", "anc"], "inner", max_rows, left)
         step = cut_lineage(
             step.select(
                 "post_id",

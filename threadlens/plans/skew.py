@@ -141,10 +141,17 @@ def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, h
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    max_rows: int | None = None,
+    left_rows: int | None = None,
 ) -> DataFrame:
-    """`join_hot` with the hot keys of `left` looked up first."""
-    return join_hot(left, right, keys, how, hot_keys(left, keys, max_rows))
+    """`join_hot` with the hot keys of `left` looked up first, unless its known row count rules them out."""
+    limit = MAX_GROUP_ROWS if max_rows is None else max_rows
+    none_hot = left_rows is not None and left_rows <= limit
+    return join_hot(left, right, keys, how, None if none_hot else hot_keys(left, keys, limit))
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:

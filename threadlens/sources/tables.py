@@ -9,6 +9,17 @@ from threadlens.schemas import DEFAULTS, SCHEMAS, empty_table
 LOADED = ("posts", "comments", "rejects")
 
 
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet scan; one that comes in fewer splits than there are cores is spread over them.
+
+    Row-local text work would otherwise run in as many tasks as a small file has row groups. Large inputs have more
+    splits than cores and are left alone.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """Tables under one root folder, which all executors must be able to reach."""
 

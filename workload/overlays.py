@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threadlens.session import scratch_path
+from threadlens.sources.tables import read_parquet
+
 TABLES = ["documents", "conversations", "pages"]
 
 _PIECES = {
@@ -161,16 +164,30 @@ NEEDS = {
 }
 
 
+# Views stored once per session and data folder, so that queries scan Parquet like any stored table.
+STORED = ("comments_fx", "posts_fx")
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or an overlay view of the data in `sf_dir`."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if name not in NEEDS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _PATHS:
+        return read_parquet(spark, _PATHS[key])
     for table in TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        read_parquet(spark, f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     for needed in NEEDS[name]:
         load(spark, sf_dir, needed).createOrReplaceTempView(needed)
-    return spark.sql(text_of(name, "spark"))
+    view = spark.sql(text_of(name, "spark"))
+    if name not in STORED:
+        return view
+    path = scratch_path(spark, name)
+    view.write.parquet(path)
+    _PATHS[key] = path
+    return read_parquet(spark, path)
 
 
 def ctes(*names: str) -> list[tuple[str, str]]:
