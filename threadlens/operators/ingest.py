@@ -55,10 +55,15 @@ def _author() -> Column:
     return _chain("authorName", "username", "author", default="unknown")
 
 
-def _rejects(bad: DataFrame, kind: str, reason: Column, batch_id: int) -> DataFrame:
-    names = [c for c in bad.columns if not c.startswith("_k_")]
-    return bad.select(
-        F.to_json(F.struct(*names)).alias("raw"), F.lit(kind).alias("kind"), reason.alias("reason"),
+def reject_items(items: DataFrame, batch_id: int = 0) -> DataFrame:
+    """Items that cannot be loaded, in one scan: posts and comments without any id, and lines that are no JSON."""
+    corrupt = F.col("_corrupt_record") if "_corrupt_record" in items.columns else F.lit(None).cast("string")
+    named = F.col("dataType").isin("post", "comment") & _bare_id().isNull()
+    names = [c for c in items.columns if c != "_corrupt_record"]
+    return items.filter(corrupt.isNotNull() | named).select(
+        F.coalesce(corrupt, F.to_json(F.struct(*names))).alias("raw"),
+        F.when(corrupt.isNotNull(), "unknown").otherwise(F.col("dataType")).alias("kind"),
+        F.when(corrupt.isNotNull(), "malformed JSON").otherwise("missing id").alias("reason"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
 
@@ -68,8 +73,8 @@ def _enrichment(batch_id: int) -> list[Column]:
     return [*cols, F.lit(batch_id).cast("bigint").alias("batch_id")]
 
 
-def normalize_posts(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(posts, rejects). A post without any id is rejected."""
+def normalize_posts(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) -> DataFrame:
+    """Typed posts; those without any id go to `reject_items`."""
     raw = raw.withColumn("_k_id", _bare_id())
     community = F.regexp_replace(_chain("parsedCommunityName", "communityName", "subredditName", default=""), "^r/", "")
     good = raw.filter(F.col("_k_id").isNotNull()).select(
@@ -84,12 +89,11 @@ def normalize_posts(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) -> tup
         _number("commentsCount", "numberOfComments", "numComments").alias("num_comments"),
         *_enrichment(batch_id),
     )
-    bad = raw.filter(F.col("_k_id").isNull())
-    return good.select(*POSTS.names), _rejects(bad, "post", F.lit("missing id"), batch_id)
+    return good.select(*POSTS.names)
 
 
-def normalize_comments(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(comments, rejects). A comment without any id is rejected; an empty post id is kept."""
+def normalize_comments(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) -> DataFrame:
+    """Typed comments; those without any id go to `reject_items`, an empty post id is kept."""
     raw = raw.withColumn("_k_id", _bare_id()).withColumn("_k_post", _chain("postId", "post_id", default=""))
     post = F.when(F.col("_k_post") == "", "").otherwise(_prefixed(F.col("_k_post"), "t3_"))
     parent = F.coalesce(_truthy("parentId", "parent_id", "replyToId", "parentCommentId"), F.col("_k_post"))
@@ -117,17 +121,7 @@ def normalize_comments(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) ->
         _time(ingest_ts).alias("created_utc"),
         *_enrichment(batch_id),
     )
-    bad = raw.filter(F.col("_k_id").isNull())
-    return good.select(*COMMENTS.names), _rejects(bad, "comment", F.lit("missing id"), batch_id)
-
-
-def corrupt_items(items: DataFrame, batch_id: int = 0) -> DataFrame:
-    """Rejects for lines that are no JSON."""
-    bad = items.filter(F.col("_corrupt_record").isNotNull())
-    return bad.select(
-        F.col("_corrupt_record").alias("raw"), F.lit("unknown").alias("kind"), F.lit("malformed JSON").alias("reason"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
+    return good.select(*COMMENTS.names)
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -170,7 +164,7 @@ def cap_threads(
     max_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The crawl limits as a report: newest posts and their top comments by score within every given limit."""
-    kept = top_n(posts, max_posts, [F.col("created_utc").desc(), F.col("post_id").asc()])
+    kept = top_n(posts, max_posts, [("created_utc", "desc"), ("post_id", "asc")])
     if max_depth is not None:
         comments = comments.filter(F.col("depth") <= max_depth)
     comments = lookup_join(comments, kept.select("post_id"), ["post_id"], "left_semi", max_rows)
@@ -178,7 +172,8 @@ def cap_threads(
         ranked = rank_in_group(comments, ["post_id"], by_score(), "_rank", max_rows)
         comments = ranked.filter(F.col("_rank") <= per_post).drop("_rank")
     if total_comments is not None:
-        comments = top_n(comments, total_comments, by_score())
+        scored = comments.withColumn("_score", F.coalesce("score", F.lit(0)))
+        comments = top_n(scored, total_comments, [("_score", "desc"), ("comment_id", "asc")]).drop("_score")
     return kept, comments
 
 

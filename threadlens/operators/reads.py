@@ -51,5 +51,5 @@ def table_counts(**tables: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The last `n` rows by `order`, newest first."""
-    return top_n(df, n, [F.col(c).desc() for c in order])
+    """The last `n` rows by `order`; up to 10,000 of them come newest first."""
+    return top_n(df, n, [(c, "desc") for c in order])

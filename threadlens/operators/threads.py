@@ -13,6 +13,7 @@ from threadlens.plans.skew import lookup_join, rank_in_group
 from threadlens.session import cut_lineage
 
 PART_ROWS = 10_000
+DOCUMENT_ROWS = 2_000  # documents carry the texts
 
 
 def sibling_rank(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -104,7 +105,7 @@ def root_counts(comments: DataFrame) -> DataFrame:
 
 
 def thread_documents(
-    tree: DataFrame, comments: DataFrame, part_rows: int = PART_ROWS, max_rows: int | None = None
+    tree: DataFrame, comments: DataFrame, part_rows: int = DOCUMENT_ROWS, max_rows: int | None = None
 ) -> DataFrame:
     """post_id, part, tree_json: each post's comments nested through `replies`.
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from threadlens.session import cut_lineage
 
@@ -154,16 +154,43 @@ def lookup_join(
     return join_hot(left, right, keys, how, None if none_hot else hot_keys(left, keys, limit))
 
 
-def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """First `n` rows by `order`; a large `n` is cut by global position instead of merging candidates in one task."""
-    if n <= MAX_LIMIT_ROWS:
-        return df.orderBy(*order).limit(n)
-    rows = _numbered(df, order)
+def sorted_by(order: Sequence[tuple[str, str]]) -> list[Column]:
+    """Sort columns of (name, "asc" or "desc") pairs."""
+    return [F.col(c).desc() if way == "desc" else F.col(c).asc() for c, way in order]
+
+
+def _nth(df: DataFrame, n: int, order: Sequence[tuple[str, str]]):
+    """The n-th row of a slim frame by global position, or None when there are fewer."""
+    rows = _numbered(df, sorted_by(order))
     sizes = rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition
     starts = sizes.select(
         F.col("_pid").alias("_s_pid"),
         F.coalesce(F.sum("_n").over(W.orderBy("_pid").rowsBetween(*_BEFORE)), F.lit(0)).alias("_start"),
     )
-    out = rows.join(F.broadcast(starts), F.col("_pid") == F.col("_s_pid"))
-    return out.filter(F.col("_start") + F.col("_idx") < n).select(*df.columns)
+    at = rows.join(F.broadcast(starts), F.col("_pid") == F.col("_s_pid"))
+    return at.filter(F.col("_start") + F.col("_idx") == n - 1).select(*df.columns).first()
+
+
+def top_n(df: DataFrame, n: int, order: Sequence[tuple[str, str]]) -> DataFrame:
+    """First `n` rows by `order`, which must be total.
+
+    A small `n` merges candidates and comes back sorted. For a large one that merge would fill a single task, so only
+    the sort columns are range-sorted to find the n-th row, and the table is filtered against it where it lies.
+    """
+    if n <= MAX_LIMIT_ROWS:
+        return df.orderBy(*sorted_by(order)).limit(n)
+    times = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    exact = {c: F.unix_micros(c) if c in times else F.col(c) for c, _ in order}
+    last = _nth(df.select(*[e.alias(c) for c, e in exact.items()]), n, order)
+    if last is None:
+        return df
+    keep = F.lit(True)
+    for name, way in reversed(order):
+        col, value = exact[name], last[name]
+        if way == "desc":  # NULL sorts last
+            before = col.isNotNull() if value is None else F.coalesce(col > value, F.lit(False))
+        else:  # NULL sorts first
+            before = F.lit(False) if value is None else col.isNull() | F.coalesce(col < value, F.lit(False))
+        keep = before | (col.eqNullSafe(F.lit(value)) & keep)
+    return df.filter(keep)

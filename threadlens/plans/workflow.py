@@ -18,16 +18,14 @@ def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.da
     """Adds the new posts and comments of one load; running the same load again changes nothing. Returns the counts."""
     now = F.lit(ingest_ts or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
     raw_posts, raw_comments = ing.split_items(items)
-    good = {}
-    good["posts"], bad_posts = ing.normalize_posts(raw_posts, now, batch_id)
-    good["comments"], bad_comments = ing.normalize_comments(raw_comments, now, batch_id)
+    good = {
+        "posts": ing.normalize_posts(raw_posts, now, batch_id),
+        "comments": ing.normalize_comments(raw_comments, now, batch_id),
+    }
     for name, rows in good.items():
         stored = tables.read(name).filter(F.col("batch_id") != batch_id)
         tables.write_batch(name, ing.insert_ignore(stored, rows, KEYS[name], ARRIVAL))
-    bad = bad_posts.unionByName(bad_comments)
-    if "_corrupt_record" in items.columns:
-        bad = bad.unionByName(ing.corrupt_items(items, batch_id))
-    tables.write_batch("rejects", bad)
+    tables.write_batch("rejects", ing.reject_items(items, batch_id))
     return ing.ingest_summary(*[tables.read(n).filter(F.col("batch_id") == batch_id) for n in ("posts", "comments")])
 
 

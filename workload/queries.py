@@ -97,19 +97,17 @@ def split_comments(spark, sf):
 
 @query
 def normalize_posts(spark, sf):
-    return _iso(ing.normalize_posts(ing.split_items(_items(spark, sf))[0], _now())[0])
+    return _iso(ing.normalize_posts(ing.split_items(_items(spark, sf))[0], _now()))
 
 
 @query
 def normalize_comments(spark, sf):
-    return _iso(ing.normalize_comments(ing.split_items(_items(spark, sf))[1], _now())[0])
+    return _iso(ing.normalize_comments(ing.split_items(_items(spark, sf))[1], _now()))
 
 
 @query
 def rejects(spark, sf):
-    posts, comments = ing.split_items(_items(spark, sf))
-    bad = ing.normalize_posts(posts, _now())[1].unionByName(ing.normalize_comments(comments, _now())[1])
-    return bad.select("kind", "reason", F.get_json_object("raw", "$.body").alias("body"))
+    return ing.reject_items(_items(spark, sf)).select("kind", "reason", F.get_json_object("raw", "$.body").alias("body"))
 
 
 def _loads(spark: SparkSession, sf: str, table: str) -> tuple[DataFrame, DataFrame]:
@@ -118,7 +116,7 @@ def _loads(spark: SparkSession, sf: str, table: str) -> tuple[DataFrame, DataFra
     stored, loads = empty_table(spark, table), []
     for number in (1, 2):
         raw = ing.split_items(_items(spark, sf, number))[0 if table == "posts" else 1]
-        batch = normalize(raw, _now(), number)[0]
+        batch = normalize(raw, _now(), number)
         loads.append(ing.insert_ignore(stored, batch, KEYS[table], workflow.ARRIVAL))
         stored = loads[-1]
     return loads[0], loads[1]
