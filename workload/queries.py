@@ -163,7 +163,7 @@ def stream_load(spark, sf):
     at = dt.datetime.fromisoformat(INGEST_TS)
     for number in (1, 2):
         _items(spark, sf, number).write.mode("append").json(dump)
-        ingest_stream(tables, dump, checkpoint, files_per_batch=2, ingest_ts=at).awaitTermination()
+        ingest_stream(tables, dump, checkpoint, files_per_batch=5, ingest_ts=at).awaitTermination()
     ids = tables.read("posts").select(F.col("post_id").alias("comment_id"))
     return tables.read("comments").select("comment_id").unionByName(ids)
 
