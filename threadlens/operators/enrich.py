@@ -55,24 +55,21 @@ def valence_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
 def _with_top_words(df: DataFrame, tokens: Column, k: int) -> DataFrame:
     """Adds `_top`: the k most frequent tokens, ties by first position.
 
-    Sorting (word, position) within the row makes equal words adjacent; run starts then give count and first position.
+    All tokens are sorted within the row, which gives the start of each run of equal words. The distinct words, numbered
+    by first appearance and sorted too, line up with those runs.
     """
-    df = df.withColumn("_s", F.sort_array(F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
-    starts = F.transform(
-        "_s",
-        lambda x, p: F.when(
-            (p == 0) | (F.get(F.col("_s"), p - 1)["w"] != x["w"]),
-            F.struct(p.alias("p"), x["i"].alias("i"), x["w"].alias("w")),
-        ),
-    )
-    df = df.withColumn("_n", F.size("_s")).withColumn("_r", F.filter(starts, lambda r: r.isNotNull()))
-    runs = F.transform(
-        "_r",
-        lambda r, j: F.struct(
-            (r["p"] - F.coalesce(F.get(F.col("_r"), j + 1)["p"], F.col("_n"))).alias("c"), r["i"].alias("i"), r["w"].alias("w")
-        ),
-    )
-    return df.withColumn("_top", F.slice(F.sort_array(runs), 1, k)["w"]).drop("_s", "_n", "_r")
+    df = df.withColumn("_k", tokens)
+    numbered = F.transform(F.array_distinct("_k"), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    df = df.withColumns({"_s": F.sort_array("_k"), "_d": F.sort_array(numbered)})
+    starts = F.transform("_s", lambda w, p: F.when((p == 0) | (F.get(F.col("_s"), p - 1) != w), p))
+    df = df.withColumns({"_n": F.size("_s"), "_p": F.filter(starts, lambda p: p.isNotNull())})
+
+    def counted(word: Column, j: Column) -> Column:
+        end = F.coalesce(F.get(F.col("_p"), j + 1), F.col("_n"))
+        return F.struct((F.get(F.col("_p"), j) - end).alias("c"), word["i"].alias("i"), word["w"].alias("w"))
+
+    top = F.slice(F.sort_array(F.transform("_d", counted)), 1, k)["w"]
+    return df.withColumn("_top", top).drop("_k", "_s", "_d", "_n", "_p")
 
 
 def with_keywords(df: DataFrame, cleaned: str, k: int = MAX_KEYWORDS) -> DataFrame:

@@ -136,11 +136,12 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def insert_ignore(existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows of `batch` to append: first per key, key complete and not stored yet.
 
-    Stored keys are first cut down to those of the batch, so a small batch is broadcast and the table not shuffled.
+    Stored keys are first cut down to those of the batch, so a small batch is broadcast and the table not shuffled. Both
+    joins see each batch key once, however many copies came in.
     """
     keys = list(keys)
     first = first_per_key(batch, keys, order)
-    known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    known = existing.select(*keys).join(first.select(*keys), keys, "left_semi")
     return first.join(known, keys, "left_anti").select(*batch.columns)
 
 

@@ -33,7 +33,7 @@ def posts_by_ids(posts: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
         if len(ids) <= MAX_LITERAL_IDS:
             return posts.filter(F.col("post_id").isin(list(ids)))
         ids = posts.sparkSession.createDataFrame([(i,) for i in ids], "post_id string")
-    return posts.join(ids.select("post_id"), "post_id", "left_semi")
+    return posts.join(ids.select("post_id").distinct(), "post_id", "left_semi")
 
 
 def ranked_comments(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
