@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, quality_rules
+from threadlens.llm import exact_dedup, packing, quality_rules, token_counts, token_store
 from threadlens.llm.common import staged
+from threadlens.session import scratch_path
+
+MAX_TOKENS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "id-store")
+    docs = table(spark, sf_dir, "documents")
+    token_store.write_store(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    stored = token_store.read_store(spark, path)
+    return stored.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -25,7 +47,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
 
