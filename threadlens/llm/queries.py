@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, packing, quality_rules, token_counts, token_store
+from threadlens.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, token_store
 from threadlens.llm.common import staged
 from threadlens.session import scratch_path
 
@@ -16,12 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    names = {"_m_size": "size", "_p_size": "source_size", "_p_target": "target", "_m_taken": "taken"}
+    return mixed.select("doc_id", *[F.col(a).alias(b) for a, b in names.items()])
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -47,7 +58,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
+    "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_token_store": op9_token_store,
