@@ -7,7 +7,6 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from threadlens.llm import quality_rules as Q
-from threadlens.llm.common import staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -39,15 +38,15 @@ def test_empty_table_and_no_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
     stats = Q.text_statistics(empty)
-    assert Q.learn_rules(stats, labels) == []
+    assert Q.learn_rules(empty, labels) == []
     assert Q.judge(stats, []).count() == 0
 
 
 def test_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    stats = staged(Q.text_statistics(docs), "quality-test")
-    rules = Q.learn_rules(stats, labels.filter("doc_id % 2 = 0"))
+    stats = Q.text_statistics(docs)
+    rules = Q.learn_rules(docs, labels.filter("doc_id % 2 = 0"))
     assert 1 <= len(rules) <= Q.MAX_RULES and all(len(r) <= Q.MAX_CONDITIONS for r in rules)
     judged = Q.judge(stats, rules).filter("not base_failed").join(labels.filter("doc_id % 2 = 1"), "doc_id")
     counts = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}

@@ -6,7 +6,8 @@ the labelled rows, is pruned on the remaining third, and is kept only when it st
 leave, and the next rule starts. `verdict` turns the list into one conditional expression, so that applying it is a
 projection without any shuffle.
 
-Labels reach the fit as at most `FIT_ROWS` rows of numbers, picked by a hash of the id; everything else covers all rows.
+The fit sees at most `FIT_ROWS` labelled documents, picked by a hash of the id, as rows of numbers; applying the list covers
+all rows and is map-only.
 
 Null text counts as empty; a document without words fails the base rules. Without labels the list is empty and only the
 base rules decide. A label row with null id or null quality is ignored; of several labels of one id the lowest counts.
@@ -76,21 +77,19 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     at = F.sort_array(F.transform(F.filter(ordered, repeated), lambda pair: pair["at"]))
     rows = rows.withColumn("_q_at", at)
-    return rows.withColumns(
-        {
-            "n_words": F.size("_q_words").cast("bigint"),
-            "word_chars": (F.length(text) - F.regexp_count(text, F.lit(f"[{SPACE}]"))).cast("bigint"),
-            "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint"),
-            "n_lines": F.size("_q_lines").cast("bigint"),
-            "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("bigint"),
-            "n_repeat_words": F.coalesce(_covered(F.col("_q_at")), F.lit(0)).cast("bigint"),
-            "n_capitals": F.regexp_count(text, F.lit(r"\p{Lu}")).cast("bigint"),
-            "n_shouts": F.regexp_count(text, F.lit("!")).cast("bigint"),
-        }
-    ).drop("_q_words", "_q_lines", "_q_hashes", "_q_sorted", "_q_at")
-
-
-STATISTICS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts"]
+    figures = {
+        "n_words": F.size("_q_words"),
+        "word_chars": F.length(text) - F.regexp_count(text, F.lit(f"[{SPACE}]")),
+        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
+        "n_lines": F.size("_q_lines"),
+        "n_dup_lines": F.size("_q_lines") - F.size(F.array_distinct("_q_lines")),
+        "n_repeat_words": F.coalesce(_covered(F.col("_q_at")), F.lit(0)),
+        "n_capitals": F.regexp_count(text, F.lit(r"\p{Lu}")),
+        "n_shouts": F.regexp_count(text, F.lit("!")),
+    }
+    # a generator, so that a filter on the figures is not rewritten into the array expressions below it
+    row = F.struct(*[f.cast("bigint").alias(name) for name, f in figures.items()])
+    return rows.select(*[F.col(c) for c in docs.columns], F.inline(F.array(row)))
 
 
 def base_failed() -> Column:
@@ -164,12 +163,15 @@ def cover(rows: list[tuple[dict, bool]]) -> list[list[Condition]]:
     return rules
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> list[list[Condition]]:
-    """The decision list for `labels` (id, quality 0 or 1); it meets at most `fit_rows` rows of numbers on the driver."""
-    marks = labels.filter(F.col("quality").isNotNull()).groupBy(id_col).agg(F.min("quality").alias("_quality"))
-    seen = stats.filter(~base_failed()).select(id_col, *[F.expr(e).alias(f) for f, e in FEATURES.items()])
-    order = [F.xxhash64(F.col(id_col)), F.col(id_col), *FEATURES]
-    rows = seen.join(marks, id_col).orderBy(*order).limit(fit_rows).collect()
+def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> list[list[Condition]]:
+    """The decision list for `labels` (id, quality 0 or 1), fitted on at most `fit_rows` labelled documents."""
+    marks = labels.filter(F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_l_id")).agg(F.min("quality").alias("_quality"))
+    marks = F.broadcast(marks.orderBy(F.xxhash64("_l_id"), "_l_id").limit(fit_rows))
+    seen = docs.select(id_col, text_col).join(marks, F.col(id_col) == F.col("_l_id"))
+    seen = text_statistics(seen, text_col).filter(~base_failed())
+    columns = [F.expr(e).alias(f) for f, e in FEATURES.items()]
+    # ids that repeat add rows, so the number is bounded once more
+    rows = seen.select(F.xxhash64(id_col).alias("_h"), "_quality", *columns).orderBy("_h", *FEATURES).limit(fit_rows).collect()
     return cover([({f: float(r[f]) for f in FEATURES}, r["_quality"] == 0) for r in rows])
 
 

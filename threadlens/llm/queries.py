@@ -6,7 +6,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadlens.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, token_store
-from threadlens.llm.common import staged
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -51,10 +50,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    stats = staged(quality_rules.text_statistics(docs).drop("text"), "quality-stats")
-    rules = quality_rules.learn_rules(stats, table(spark, sf_dir, "labels"))
+    rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"]
-    return quality_rules.judge(stats, rules).select(*columns)
+    return quality_rules.judge(quality_rules.text_statistics(docs), rules).select(*columns)
 
 
 QUERIES = {
