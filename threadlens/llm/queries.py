@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, token_store
+from threadlens.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -36,6 +36,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org/"),
+    url_filter.Rule("block", "example.org/es/"),
+    url_filter.Rule("block", "example.org/en/1"),
+    url_filter.Rule("allow", "com/fr/"),
+    url_filter.Rule("block", "com/de/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.labelled_by_words(pages))
+    judged = url_filter.judge(pages, URL_RULES, model)
+    return judged.select("page_id", *[F.col(f"_u_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "id-store")
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +77,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
