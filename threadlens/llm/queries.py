@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts, token_store, url_filter
+from threadlens.llm import exact_dedup, mixing, packing, pii, quality_rules, simhash, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -32,6 +32,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *[F.col(a).alias(b) for a, b in names.items()])
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.fit(docs))
+    counts = [F.size(F.filter("_base", pii.is_kind(n))).cast("bigint").alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("_base")), 256).alias("base_sha256"), pii.listed(F.col("_all")).alias("spans"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -75,6 +82,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
     "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
