@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, mixing, packing, pii, quality_rules, simhash, token_counts, token_store, url_filter
+from threadlens.llm import exact_dedup, mixing, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -26,6 +26,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     names = {"_m_size": "size", "_p_size": "source_size", "_p_target": "target", "_m_taken": "taken"}
@@ -81,6 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mixing": op4_mixing,
     "op5_pii": op5_pii,
     "op6_packing": op6_packing,
