@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadlens.operators import ingest as ing, maintain
@@ -171,6 +172,40 @@ def test_stream_replay_adds_nothing(spark):
     assert sorted(map(tuple, tables.read("comments").collect())) == before
 
 
+def test_loads_do_not_touch_each_other(spark):
+    tables = Tables(spark, scratch_path(spark, "tables"))
+    dump, checkpoint = scratch_path(spark, "dump"), scratch_path(spark, "cp")
+
+    def item(name):
+        return json.dumps({"dataType": "comment", "id": name, "postId": "p"})
+
+    def arrive(name, *more):
+        spark.createDataFrame([(x,) for x in (item(name), *more)], "value string").coalesce(1).write.mode("append").text(dump)
+        ingest_stream(tables, dump, checkpoint, ingest_ts=NOW).awaitTermination()
+
+    arrive("s1", "{broken 1")
+    for text in ("{broken 2", "{broken 3"):  # loads of nothing but rejects
+        workflow.ingest(tables, read_items(spark, write_lines(spark, [item("m") if text[-1] == "2" else text, text])), "update", NOW)
+    arrive("s2", "{broken 4")
+    ids = lambda: sorted(r.comment_id for r in tables.read("comments").collect())
+    raws = lambda: sorted(r.raw for r in tables.read("rejects").collect())
+    assert ids() == ["t1_m", "t1_s1", "t1_s2"]
+    assert raws() == ["{broken 1", "{broken 2", "{broken 3", "{broken 3", "{broken 4"]
+    assert tables.new_load(f"stream:{checkpoint}#0") == 1 and tables.new_load("other") == 5
+    workflow.load_batch(tables, read_items(spark, write_lines(spark, ["{}"])), 1, NOW)  # a load replaced by an empty one
+    assert ids() == ["t1_m", "t1_s2"] and "{broken 1" not in raws()
+    workflow.ingest(tables, read_items(spark, write_lines(spark, [item("f")])), "fresh", NOW)
+    assert ids() == ["t1_f"] and raws() == []
+
+
+def test_lost_table_raises(spark):
+    tables = Tables(spark, scratch_path(spark, "tables"))
+    tables.overwrite("db_metadata", spark.createDataFrame([("a", "b")], "key string, value string"))
+    tables._remove(tables.path("db_metadata"))
+    with pytest.raises(FileNotFoundError):
+        tables.read("db_metadata")
+
+
 def test_caps(spark):
     posts = spark.createDataFrame([(f"p{i}", dt.datetime(2024, 1, 1 + i)) for i in range(5)], "post_id string, created_utc timestamp")
     rows = [(f"c{i:03}", f"p{i % 5}", i % 17, i % 9) for i in range(600)]

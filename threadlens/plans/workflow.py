@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -15,8 +16,14 @@ ARRIVAL = ["batch_id", "created_utc"]
 
 
 def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.datetime | None = None) -> DataFrame:
-    """Adds the new posts and comments of one load; running the same load again changes nothing. Returns the counts."""
+    """Adds the new posts and comments of one load; running the same load again changes nothing. Returns the counts.
+
+    The raw items are parsed once, into a staging folder that the three tables are then filled from.
+    """
     now = F.lit(ingest_ts or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    staging = f"{tables.root}/_staging/{batch_id}"
+    items.write.mode("overwrite").parquet(staging)
+    items = tables.spark.read.schema(items.schema).parquet(staging)
     raw_posts, raw_comments = ing.split_items(items)
     good = {
         "posts": ing.normalize_posts(raw_posts, now, batch_id),
@@ -24,24 +31,19 @@ def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.da
     }
     for name, rows in good.items():
         stored = tables.read(name).filter(F.col("batch_id") != batch_id)
-        tables.write_batch(name, ing.insert_ignore(stored, rows, KEYS[name], ARRIVAL))
-    tables.write_batch("rejects", ing.reject_items(items, batch_id))
+        tables.write_batch(name, ing.insert_ignore(stored, rows, KEYS[name], ARRIVAL), batch_id)
+    tables.write_batch("rejects", ing.reject_items(items, batch_id), batch_id)
+    tables._remove(staging)
     return ing.ingest_summary(*[tables.read(n).filter(F.col("batch_id") == batch_id) for n in ("posts", "comments")])
 
 
-def next_batch(tables: Tables) -> int:
-    """One more than the largest stored load; reads partition values only."""
-    both = tables.read("posts").select("batch_id").unionByName(tables.read("comments").select("batch_id"))
-    return (both.agg(F.max("batch_id")).first()[0] or 0) + 1
-
-
 def ingest(tables: Tables, items: DataFrame, mode: str = "update", ingest_ts: dt.datetime | None = None) -> DataFrame:
-    """`fresh` clears all tables first, `update` adds what is new."""
+    """`fresh` clears all tables first, rejects included; `update` adds what is new."""
     if mode not in ("fresh", "update"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "fresh":
         tables.clear()
-    return load_batch(tables, items, next_batch(tables), ingest_ts)
+    return load_batch(tables, items, tables.new_load(f"items:{uuid.uuid4()}"), ingest_ts)
 
 
 def generate_qa(tables: Tables, post_ids: Sequence[str] | None = None) -> DataFrame:

@@ -1,7 +1,13 @@
-"""Stored tables: one Parquet folder each; posts and comments are partitioned by load (`batch_id`)."""
+"""Stored tables: versioned Parquet folders; posts, comments and rejects are partitioned by load (`batch_id`).
+
+A table's rows lie in `<root>/<name>/v<k>`; the largest number in `<root>/<name>/_versions` says which version counts. A
+rewrite goes to a new folder and becomes visible by one new marker file, so a stop in between changes nothing.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadlens.schemas import DEFAULTS, SCHEMAS, empty_table
@@ -21,56 +27,99 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Tables:
-    """Tables under one root folder, which all executors must be able to reach."""
+    """Tables under one root folder, which all executors must be able to reach.
+
+    Loads may run beside each other: each claims its own number. A rewrite (`overwrite`, `clear`) must run alone.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def _fs(self, path: str):
         jvm = self.spark._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
+    def _listed(self, path: str) -> list[str]:
+        fs, target = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+    def _numbers(self, path: str) -> list[int]:
+        return sorted(int(n) for n in self._listed(path) if n.isdigit())
+
+    def _claim(self, folder: str, number: int) -> bool:
+        """Creates the marker; False when it is there already."""
+        fs, target = self._fs(f"{folder}/{number}")
+        if fs.exists(target):
+            return False
+        fs.create(target, False).close()  # fails if another writer was faster
+        return True
+
+    def _remove(self, path: str) -> None:
+        fs, target = self._fs(path)
+        fs.delete(target, True)
+
+    def version(self, name: str) -> int:
+        """Number of the version that counts, 0 for a table that was never written."""
+        return max(self._numbers(f"{self.root}/{name}/_versions"), default=0)
+
+    def path(self, name: str, version: int | None = None) -> str:
+        return f"{self.root}/{name}/v{self.version(name) if version is None else version}"
+
     def exists(self, name: str) -> bool:
-        fs, target = self._fs(self.path(name))
-        return fs.exists(target)
+        return self.version(name) > 0
 
     def read(self, name: str) -> DataFrame:
-        """Stored rows in schema order; absent tables are empty.
+        """Stored rows in schema order; a table never written is empty, one whose rows are lost raises.
 
         Files written before a column existed read as NULL there, which becomes the column default.
         """
         if not self.exists(name):
             return empty_table(self.spark, name)
-        stored = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        path = self.path(name)
+        fs, target = self._fs(path)
+        if not fs.exists(target):
+            raise FileNotFoundError(f"table {name} was written to {path}, which is gone")
+        stored = self.spark.read.schema(SCHEMAS[name]).parquet(path)
         filled = {c: F.coalesce(c, F.lit(v)) for c, v in DEFAULTS.get(name, {}).items()}
         return stored.select(*[filled.get(c, F.col(c)).alias(c) for c in SCHEMAS[name].names])
 
-    def write_batch(self, name: str, df: DataFrame) -> None:
-        """Writes the loads found in `df`, replacing an earlier try of the same load only."""
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch_id").parquet(self.path(name))
+    def new_load(self, source: str) -> int:
+        """The load number of a source: the one it has, if it came before, else a number that nobody else has."""
+        own = f"{self.root}/_loads/{hashlib.sha1(source.encode()).hexdigest()}"
+        known = self._numbers(own)
+        if known:
+            return known[0]
+        stored = [n.partition("=")[2] for t in LOADED for n in self._listed(self.path(t)) if n.startswith("batch_id=")]
+        number = max([*self._numbers(f"{self.root}/_loads/all"), *[int(n) for n in stored if n.isdigit()], 0]) + 1
+        while not self._claim(f"{self.root}/_loads/all", number):
+            number += 1
+        self._claim(own, number)
+        return number
+
+    def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
+        """Writes one load, in place of an earlier try of the same load, also of rows when `df` has none."""
+        version = self.version(name)
+        df.drop("batch_id").write.mode("overwrite").parquet(f"{self.path(name, version or 1)}/batch_id={batch_id}")
+        if not version:
+            self._claim(f"{self.root}/{name}/_versions", 1)
 
     def overwrite(self, name: str, df: DataFrame) -> None:
-        """Replaces a table, which `df` may read: written beside it, then swapped in by rename."""
-        fresh = self.path(name) + ".next"
+        """Replaces a table, which `df` may read; the version before it stays for readers that have begun."""
+        version = self.version(name) + 1
         writer = df.write.mode("overwrite")
-        (writer.partitionBy("batch_id") if name in LOADED else writer).parquet(fresh)
-        fs, target = self._fs(self.path(name))
-        _, source = self._fs(fresh)
-        fs.delete(target, True)
-        if not fs.rename(source, target):
-            raise OSError(f"could not replace {self.path(name)}; its new rows are in {fresh}")
+        (writer.partitionBy("batch_id") if name in LOADED else writer).parquet(self.path(name, version))
+        if not self._claim(f"{self.root}/{name}/_versions", version):
+            raise OSError(f"table {name} was replaced by another writer")
+        for old in self._numbers(f"{self.root}/{name}/_versions"):
+            if old < version - 1:
+                self._remove(self.path(name, old))
 
     def clear(self, *names: str) -> None:
         """Empties tables but keeps their schema; metadata only when named."""
-        for name in names or ("qa_pairs", "comments", "posts"):
+        for name in names or ("qa_pairs", "comments", "posts", "rejects"):
             self.overwrite(name, empty_table(self.spark, name))
 
     def drop(self, *names: str) -> None:
         for name in names or ("qa_pairs", "comments", "posts"):
-            fs, target = self._fs(self.path(name))
-            fs.delete(target, True)
+            self._remove(f"{self.root}/{name}")

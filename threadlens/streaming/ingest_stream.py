@@ -4,27 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from threadlens.operators.maintain import upsert
-from threadlens.plans.workflow import load_batch, next_batch
+from threadlens.plans.workflow import load_batch
 from threadlens.sources.items import stream_items
 from threadlens.sources.tables import Tables
 
 
-def _first_load(tables: Tables, key: str) -> int:
-    """Load number of the stream's batch 0, remembered in the metadata so that restarts agree."""
-    meta = tables.read("db_metadata")
-    known = meta.filter(F.col("key") == key).select("value").first()
-    if known:
-        return int(known["value"])
-    first = next_batch(tables)
-    row = tables.spark.createDataFrame([(key, str(first))], meta.schema)
-    tables.overwrite("db_metadata", upsert(meta, row))
-    return first
-
-
 def ingest_stream(
     tables: Tables,
     path: str,
@@ -35,13 +22,12 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Loads files as they arrive.
 
-    Batch numbers of the stream follow the loads stored when it first started, and a load replaces itself, so a batch
-    replayed after a failure leaves the tables as they were.
+    Each micro-batch claims a load number under its checkpoint and batch, and finds it again when it is replayed after a
+    failure: the load then replaces itself, and no other load is touched.
     """
-    first = _first_load(tables, f"stream:{checkpoint}")
 
     def load(batch: DataFrame, number: int) -> None:
-        load_batch(tables, batch, first + number, ingest_ts)
+        load_batch(tables, batch, tables.new_load(f"stream:{checkpoint}#{number}"), ingest_ts)
 
     writer = stream_items(tables.spark, path, files_per_batch).writeStream.foreachBatch(load)
     writer = writer.option("checkpointLocation", checkpoint)
