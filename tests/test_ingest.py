@@ -64,6 +64,14 @@ def test_post_aliases_and_times(spark):
     assert (c.t, d.t) == ("2025-01-01 00:00:00", "2024-03-01 00:00:00")
 
 
+def test_numbers(spark):
+    values = ["12", "12.0", "-3.000", "1e3", "3.7", "many", "", None, "9" * 30, " 5"]
+    rows = raw(spark, [{"id": str(i), "postId": "p", "upVotes": v, "depth": v} for i, v in enumerate(values)])
+    got = {int(r.comment_id[3:]): (r.score, r.depth) for r in ing.normalize_comments(rows, now()).collect()}
+    assert [got[i][0] for i in range(len(values))] == [12, 12, -3, 1000, 0, 0, 0, 0, 0, 5]
+    assert [got[i][1] for i in (0, 1, 3, 4, 5)] == [12, 12, 1000, 0, 0]
+
+
 def test_insert_ignore(spark):
     batch = spark.createDataFrame(
         [("k1", 2, "b"), ("k1", 1, "z"), ("k2", 1, "a"), ("k2", 1, None), (None, 1, "n"), ("k3", 5, "c")], "k string, o int, v string"
@@ -82,7 +90,7 @@ def test_large_limits_by_cutoff(spark, monkeypatch):
         cols = [F.col(c).desc() if w == "desc" else F.col(c).asc() for c, w in order]
         ranked = [r.i for r in df.orderBy(*cols).collect()]
         for n in (4, 15, 50, 99, 100, 500):
-            assert sorted(r.i for r in top_n(df, n, order).collect()) == sorted(ranked[:n])
+            assert [r.i for r in top_n(df, n, order).collect()] == ranked[:n]
 
 
 def test_maintenance(spark):

@@ -51,8 +51,8 @@ def flat(nodes):
         yield from flat(n["replies"])
 
 
-@pytest.mark.parametrize("max_rows, part_rows", [(None, 10_000), (10, 7)])
-def test_tree(spark, max_rows, part_rows):
+@pytest.mark.parametrize("max_rows", [None, 10])
+def test_tree(spark, max_rows):
     rows = forest(5)
     expected = walk(rows)
     comments = spark.createDataFrame(rows, SCHEMA)
@@ -64,19 +64,18 @@ def test_tree(spark, max_rows, part_rows):
     assert len(order) == sum(map(len, pairs.values()))
 
     docs = {}
-    for r in threads.thread_documents(tree, comments, part_rows, max_rows).orderBy("post_id", "part").collect():
-        docs[r.post_id] = docs.get(r.post_id, "") + r.tree_json
+    for r in threads.thread_documents(tree, comments, max_rows).orderBy("post_id", "preorder").collect():
+        docs[r.post_id] = docs.get(r.post_id, "") + r.fragment
     assert {p: json.loads(d) for p, d in docs.items()} == {p: n for p, n in expected.items() if n}
 
     records = {}
-    for r in threads.threads(tree, part_rows, max_rows).orderBy("post_id", "thread_id", "part").collect():
-        assert len(r.comments) <= part_rows
-        records.setdefault((r.post_id, r.thread_id), []).extend(c.comment_id for c in r.comments)
+    for r in threads.threads(tree, max_rows).orderBy("post_id", "thread_id", "position").collect():
+        records.setdefault((r.post_id, r.thread_id), []).append(r.comment_id)
     assert records == {(p, n["comment_id"]): [m["comment_id"] for m in flat([n])] for p, nodes in expected.items() for n in nodes}
 
     kids = {}
-    for r in threads.children(comments, part_rows, max_rows).orderBy("part").collect():
-        kids.setdefault((r.post_id, r.parent_id), []).extend(r.children)
+    for r in threads.children(comments, max_rows).orderBy("sibling_rank").collect():
+        kids.setdefault((r.post_id, r.parent_id), []).append(r.child)
     assert {k: v for k, v in kids.items() if k[0] == k[1]} == {
         (p, p): [n["comment_id"] for n in nodes] for p, nodes in expected.items() if nodes
     }

@@ -32,8 +32,14 @@ def _truthy(*names: str) -> Column:
     return F.coalesce(*[F.when(~F.col(n).isin("", "0"), F.col(n)) for n in names])
 
 
+def _whole(text: Column) -> Column:
+    """A whole number, also one written with an empty fraction or an exponent (`12.0`, `1e3`); NULL for anything else."""
+    exact = text.try_cast("decimal(38,9)")
+    return F.coalesce(text.try_cast("bigint"), F.when(exact == F.floor(exact), exact.try_cast("bigint")))
+
+
 def _number(*names: str) -> Column:
-    return F.coalesce(_chain(*names).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(_whole(_chain(*names)), F.lit(0).cast("bigint"))
 
 
 def _prefixed(col: Column, prefix: str) -> Column:
@@ -108,7 +114,7 @@ def normalize_comments(raw: DataFrame, ingest_ts: Column, batch_id: int = 0) ->
     declared = _chain("depth", "commentDepth")
     top = (F.col("_k_parent") == F.col("_k_post")) | F.col("_k_parent").startswith("t3_")
     depth = F.when(declared.isNull(), F.when(top, 0).otherwise(1)).otherwise(
-        F.coalesce(tx.strip(declared).try_cast("int"), F.lit(0))
+        F.coalesce(_whole(tx.strip(declared)).try_cast("int"), F.lit(0))
     )
     good = rows.filter(F.col("_k_id").isNotNull()).select(
         _prefixed(F.col("_k_id"), "t1_").alias("comment_id"),

@@ -45,9 +45,23 @@ def previews(df: DataFrame, table: str, n: int = 3) -> DataFrame:
     return latest(df, n, LATEST[table]).select(*cols)
 
 
+def _plain(col: Column) -> Column:
+    """A double as its shortest plain decimal; beyond 20 whole digits it keeps its exponent."""
+    text = col.cast("string")
+    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(?<=\.\d)(\d*?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")), F.coalesce(digits, text)).otherwise(text)
+
+
 def format_cell(col: Column, dtype: T.DataType) -> Column:
-    """NULL as empty text, timestamps as YYYY-mm-dd HH:MM:SS, everything else as text."""
-    shown = F.date_format(col, "yyyy-MM-dd HH:mm:ss") if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else col.cast("string")
+    """NULL as empty text, timestamps as YYYY-mm-dd HH:MM:SS, numbers in plain decimals, True or False, else as text."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        shown = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        shown = _plain(col)
+    elif isinstance(dtype, T.BooleanType):
+        shown = F.when(col, "True").when(~col, "False")
+    else:
+        shown = col.cast("string")
     return F.coalesce(shown, F.lit(""))
 
 

@@ -1,36 +1,26 @@
 """Reply trees: children, depth and path, pre-order, thread records and nested documents.
 
-Lists are cut into parts of bounded length, numbered by `part`, so that one huge parent, thread or post never has to fit
-into one row; small ones have the single part 0.
+Results have one row per comment at every size: no parent, thread or post ever has to fit into one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from threadlens.operators.reads import by_score
 from threadlens.plans.skew import lookup_join, rank_in_group
 from threadlens.session import cut_lineage
 
-PART_ROWS = 10_000
-DOCUMENT_ROWS = 2_000  # documents carry the texts
-
 
 def sibling_rank(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Adds `sibling_rank`: order by score among the children of one parent."""
     return rank_in_group(comments, ["post_id", "parent_id"], by_score(), "sibling_rank", max_rows)
 
 
-def _part(rank: str, rows: int) -> Column:
-    return F.floor((F.col(rank) - 1) / rows).alias("part")
-
-
-def children(comments: DataFrame, part_rows: int = PART_ROWS, max_rows: int | None = None) -> DataFrame:
-    """post_id, parent_id, part, children (ids in sibling order)."""
+def children(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """post_id, parent_id, sibling_rank, child: the children of each parent in sibling order, one row each."""
     slim = comments.select("post_id", "parent_id", "comment_id", "score")
-    ranked = sibling_rank(slim, max_rows).withColumn("part", _part("sibling_rank", part_rows))
-    ids = F.sort_array(F.collect_list(F.struct("sibling_rank", "comment_id")))["comment_id"]
-    return ranked.groupBy("post_id", "parent_id", "part").agg(ids.alias("children"))
+    return sibling_rank(slim, max_rows).select("post_id", "parent_id", "sibling_rank", F.col("comment_id").alias("child"))
 
 
 def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -87,15 +77,10 @@ def flatten_tree(tree: DataFrame, max_rows: int | None = None) -> DataFrame:
     return rank_in_group(tree, ["post_id"], [F.col("path").asc()], "preorder", max_rows)
 
 
-def threads(tree: DataFrame, part_rows: int = PART_ROWS, max_rows: int | None = None) -> DataFrame:
-    """post_id, thread_id, part, comments (ordered structs of comment_id and depth)."""
-    ranked = rank_in_group(tree, ["post_id", "thread_id"], [F.col("path").asc()], "_pos", max_rows)
-    items = F.sort_array(F.collect_list(F.struct("_pos", "comment_id", "depth")))
-    return (
-        ranked.withColumn("part", _part("_pos", part_rows))
-        .groupBy("post_id", "thread_id", "part")
-        .agg(F.transform(items, lambda c: F.struct(c["comment_id"].alias("comment_id"), c["depth"].alias("depth"))).alias("comments"))
-    )
+def threads(tree: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """post_id, thread_id, position, comment_id, depth: the comments of each thread in order, from position 1."""
+    ranked = rank_in_group(tree, ["post_id", "thread_id"], [F.col("path").asc()], "position", max_rows)
+    return ranked.select("post_id", "thread_id", "position", "comment_id", "depth")
 
 
 def root_counts(comments: DataFrame) -> DataFrame:
@@ -104,39 +89,22 @@ def root_counts(comments: DataFrame) -> DataFrame:
     return roots.groupBy("post_id").agg(F.count(F.lit(1)).alias("top_level"))
 
 
-def thread_documents(
-    tree: DataFrame, comments: DataFrame, part_rows: int = DOCUMENT_ROWS, max_rows: int | None = None
-) -> DataFrame:
-    """post_id, part, tree_json: each post's comments nested through `replies`.
+def thread_documents(tree: DataFrame, comments: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """post_id, preorder, depth, fragment: each post's comments nested through `replies`, one fragment per comment.
 
-    In pre-order a document is the concatenation of one fragment per comment: its opening, then the brackets that close
-    before the next comment, which only depend on the next depth. Fragments are joined per part, and each part also
-    sees the first comment of the next one; concatenating the parts of a post in order gives its document.
+    In pre-order a document is the concatenation of its fragments: a comment's opening, then the brackets that close
+    before the next comment, which only depend on the next depth. That neighbour comes by a join on its number.
     """
-    walk = flatten_tree(tree, max_rows).select("post_id", "comment_id", "depth", "preorder")
-    fields = [c for c in comments.columns if c not in ("depth",)]
+    walk = cut_lineage(flatten_tree(tree, max_rows).select("post_id", "comment_id", "depth", "preorder"))
+    following = walk.select("post_id", (F.col("preorder") - 1).alias("preorder"), F.col("depth").alias("_next"))
+    walk = walk.join(following, ["post_id", "preorder"], "left")
+    fields = [c for c in comments.columns if c != "depth"]
     rows = walk.join(comments.drop("post_id", "depth"), "comment_id")
     js = F.to_json(F.struct(*fields, "depth"), {"ignoreNullFields": "false"})
-    rows = rows.withColumn("_js", js).select(
-        "post_id",
-        "preorder",
-        "depth",
-        F.concat(F.substring(F.col("_js"), F.lit(1), F.length("_js") - 1), F.lit(',"replies":[')).alias("open"),
-    )
-    own = _part("preorder", part_rows)
-    starts_part = (F.col("preorder") > 1) & ((F.col("preorder") - 1) % part_rows == 0)
-    rows = rows.withColumn("_own", own).withColumn(
-        "part", F.explode(F.when(starts_part, F.array(F.col("_own") - 1, "_own")).otherwise(F.array("_own")))
+    nxt, depth = F.col("_next"), F.col("depth")
+    closing = F.when(nxt.isNull(), F.concat(F.repeat(F.lit("]}"), depth + 1), F.lit("]"))).when(
+        nxt <= depth, F.concat(F.repeat(F.lit("]}"), depth - nxt + 1), F.lit(","))
     )
-    item = F.struct("preorder", "depth", F.when(F.col("part") == F.col("_own"), F.col("open")).alias("open"))
-    parts = rows.groupBy("post_id", "part").agg(F.sort_array(F.collect_list(item)).alias("_l"))
-
-    def fragment(x: Column, i: Column) -> Column:
-        nxt = F.get(F.col("_l"), i + 1)["depth"]
-        closing = F.when(nxt.isNull(), F.concat(F.repeat(F.lit("]}"), x["depth"] + 1), F.lit("]"))).when(
-            nxt <= x["depth"], F.concat(F.repeat(F.lit("]}"), x["depth"] - nxt + 1), F.lit(","))
-        ).otherwise(F.lit(""))
-        head = F.when(x["preorder"] == 1, F.lit("[")).otherwise(F.lit(""))
-        return F.when(x["open"].isNotNull(), F.concat(head, x["open"], closing)).otherwise(F.lit(""))
-
-    return parts.select("post_id", "part", F.array_join(F.transform("_l", fragment), "").alias("tree_json"))
+    opening = F.concat(F.when(F.col("preorder") == 1, F.lit("[")).otherwise(F.lit("")), F.expr("left(_js, length(_js) - 1)"), F.lit(',"replies":['))
+    rows = rows.withColumn("_js", js)
+    return rows.select("post_id", "preorder", "depth", F.concat(opening, F.coalesce(closing, F.lit(""))).alias("fragment"))

@@ -2,8 +2,8 @@
 
 A key is *hot* when it has more than `max_rows` rows. Cold groups take the ordinary one-shuffle window or join. Hot
 groups are spread over many tasks: sorted by range and numbered per partition, cut into position blocks, or joined to a
-broadcast of the few right-hand rows they need. There are at most `MAX_HOT_KEYS` hot keys: beyond that the threshold
-rises to the size of the next largest group, so a cold group never holds more than max(max_rows, N / MAX_HOT_KEYS) rows.
+broadcast of the few right-hand rows they need. N rows have fewer than N / max_rows hot keys, which bounds what is
+broadcast: one row per million rows of input by default. No hot key is left out.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from threadlens.session import cut_lineage
 
 MAX_GROUP_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
 MAX_LIMIT_ROWS = 10_000
 BLOCK_ROWS = 500_000
 
@@ -26,21 +25,11 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partitio
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame | None:
-    """The keys with more than `max_rows` rows as a frame of at most MAX_HOT_KEYS rows, or None."""
+    """The keys with more than `max_rows` rows as a frame, or None when there is none."""
     limit = MAX_GROUP_ROWS if max_rows is None else max_rows
-    rows = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_HOT_KEYS:
-        rows = [r for r in rows if r["_n"] > rows[-1]["_n"]]
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], df.select(*keys).schema)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(counts.filter(F.col("_n") > limit).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
 def _same(keys: Sequence[str], left: DataFrame, right: DataFrame, prefix: str) -> Column:
@@ -48,7 +37,7 @@ def _same(keys: Sequence[str], left: DataFrame, right: DataFrame, prefix: str) -
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows); the broadcast is bounded by MAX_HOT_KEYS."""
+    """(cold rows, hot rows); the broadcast holds hot keys only."""
     marks = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
     on = _same(keys, df, marks, "_h_")
     return df.join(marks, on, "left_anti"), df.join(marks, on, "left_semi")
@@ -130,7 +119,7 @@ def running(
 def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None) -> DataFrame:
     """Join to a right side that is unique on `keys`; `hot` holds the hot keys of the left side, if any.
 
-    Right rows of hot keys (at most MAX_HOT_KEYS) are broadcast; all others use the ordinary join.
+    Right rows of hot keys, one per key, are broadcast; all others use the ordinary join.
     """
     keys = list(keys)
     if hot is None:
@@ -173,10 +162,10 @@ def _nth(df: DataFrame, n: int, order: Sequence[tuple[str, str]]):
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[tuple[str, str]]) -> DataFrame:
-    """First `n` rows by `order`, which must be total.
+    """First `n` rows by `order`, which must be total, in that order.
 
-    A small `n` merges candidates and comes back sorted. For a large one that merge would fill a single task, so only
-    the sort columns are range-sorted to find the n-th row, and the table is filtered against it where it lies.
+    A small `n` merges candidates. For a large one that merge would fill a single task, so only the sort columns are
+    range-sorted to find the n-th row, the table is filtered against it where it lies, and what is left is range-sorted.
     """
     if n <= MAX_LIMIT_ROWS:
         return df.orderBy(*sorted_by(order)).limit(n)
@@ -184,7 +173,7 @@ def top_n(df: DataFrame, n: int, order: Sequence[tuple[str, str]]) -> DataFrame:
     exact = {c: F.unix_micros(c) if c in times else F.col(c) for c, _ in order}
     last = _nth(df.select(*[e.alias(c) for c, e in exact.items()]), n, order)
     if last is None:
-        return df
+        return df.orderBy(*sorted_by(order))
     keep = F.lit(True)
     for name, way in reversed(order):
         col, value = exact[name], last[name]
@@ -193,4 +182,4 @@ def top_n(df: DataFrame, n: int, order: Sequence[tuple[str, str]]) -> DataFrame:
         else:  # NULL sorts first
             before = F.lit(False) if value is None else col.isNull() | F.coalesce(col < value, F.lit(False))
         keep = before | (col.eqNullSafe(F.lit(value)) & keep)
-    return df.filter(keep)
+    return df.filter(keep).orderBy(*sorted_by(order))

@@ -43,6 +43,7 @@ def ingest(tables: Tables, items: DataFrame, mode: str = "update", ingest_ts: dt
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "fresh":
         tables.clear()
+        tables.forget_loads()
     return load_batch(tables, items, tables.new_load(f"items:{uuid.uuid4()}"), ingest_ts)
 
 

@@ -97,6 +97,10 @@ class Tables:
         self._claim(own, number)
         return number
 
+    def forget_loads(self) -> None:
+        """Load numbers start again; for a root whose loads are all cleared."""
+        self._remove(f"{self.root}/_loads")
+
     def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
         """Writes one load, in place of an earlier try of the same load, also of rows when `df` has none."""
         version = self.version(name)

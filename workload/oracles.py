@@ -415,8 +415,7 @@ oracle("latest_pairs", f"select * from pairs {_LATEST_Q}", "comments_fx", recurs
 
 oracle(
     "children",
-    """select post_id, parent_id, cast(0 as bigint) part, string_agg(comment_id, ' ' order by sr) children
-       from sib group by post_id, parent_id""",
+    "select post_id, parent_id, sr sibling_rank, comment_id child from sib",
     "comments_fx", sib=TREE["sib"],
 )
 oracle("sibling_rank", "select post_id, parent_id, comment_id, sr sibling_rank from sib", "comments_fx", sib=TREE["sib"])
@@ -433,19 +432,18 @@ for _n in ("preorder", "preorder_hot"):
     )
 oracle(
     "thread_records",
-    """select post_id, thread_id, cast(0 as bigint) part,
-              string_agg(comment_id || ':' || cast(len(path) - 1 as varchar), ' ' order by path) comments
-       from tree group by post_id, thread_id""",
+    """select post_id, thread_id, row_number() over (partition by post_id, thread_id order by path) as position,
+              comment_id, cast(len(path) - 1 as int) as depth from tree""",
     "comments_fx", recursive=True, **TREE,
 )
 oracle(
     "thread_documents",
-    """select post_id, cast(0 as bigint) part, '[' || string_agg(piece, '' order by path) || ']' tree_json
-       from (select *, left(js, length(js) - 1) || ',"replies":[' ||
-               case when nxt is null then repeat(']}', d + 1)
-                    when nxt <= d then repeat(']}', d - nxt + 1) || ',' else '' end piece from docs) group by post_id""",
+    """select post_id, n as preorder, cast(d as int) as depth,
+              case when n = 1 then '[' else '' end || left(js, length(js) - 1) || ',"replies":[' ||
+              case when nxt is null then repeat(']}', d + 1) || ']'
+                   when nxt <= d then repeat(']}', d - nxt + 1) || ',' else '' end as fragment from docs""",
     "comments_fx", recursive=True, **TREE,
-    docs="""select t.post_id, t.path, len(t.path) - 1 d,
+    docs="""select t.post_id, len(t.path) - 1 d, row_number() over (partition by t.post_id order by t.path) n,
                    lead(len(t.path) - 1) over (partition by t.post_id order by t.path) nxt,
                    cast(to_json({'comment_id': c.comment_id, 'post_id': c.post_id, 'parent_id': c.parent_id, 'author': c.author,
                                  'body': c.body, 'score': c.score, 'depth': len(t.path) - 1}) as varchar) js
@@ -576,7 +574,9 @@ oracle(
 )
 oracle(
     "format_cells",
-    "select cast(event_id as varchar) event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') ts, event_type, coalesce(props, '') props from events",
+    """select cast(event_id as varchar) event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') ts, cast(user_id as varchar) user_id,
+              coalesce(event_type, '') event_type, coalesce(cast(value as varchar), '') as value, coalesce(props, '') props
+       from events""",
 )
 oracle("flatten_struct", "select doc_id, source origin_name, n_chars origin_stats_n_chars, lang origin_stats_lang from documents")
 
@@ -594,7 +594,7 @@ oracle(
     _widths(
         {
             **{c: c for c in ("post_id", "subreddit", "title", "body", "author", "url", "sentiment_label", "keywords")},
-            **{c: _NUM.format(c=c) for c in ("score", "num_comments", "batch_id")},
+            **{c: _NUM.format(c=c) for c in ("score", "num_comments", "batch_id", "sentiment_score")},
             "created_utc": "strftime(created_utc, '%Y-%m-%d %H:%M:%S')",
         },
         "posts_fx",
@@ -604,7 +604,17 @@ oracle(
 oracle(
     "column_widths_orders",
     _widths(
-        {"o_orderkey": _NUM.format(c="o_orderkey"), "o_orderstatus": "o_orderstatus", "o_orderpriority": "o_orderpriority"},
+        {
+            **{c: _NUM.format(c=c) for c in ("o_orderkey", "o_custkey", "o_totalprice")},
+            **{c: c for c in ("o_orderstatus", "o_orderpriority")},
+            "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')",
+        },
         "orders",
     ),
 )
+oracle(
+    "export_latest",
+    """select cast(row_number() over (order by orders.o_orderdate desc, orders.o_orderkey desc) as varchar) place, cast(o_orderkey as varchar) o_orderkey,
+              cast(o_totalprice as varchar) o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') o_orderdate
+       from orders order by orders.o_orderdate desc, orders.o_orderkey desc limit 12000""",
+)

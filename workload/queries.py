@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from threadlens.functions import text as tx
 from threadlens.operators import enrich, ingest as ing, maintain, qa, reads, report, threads
@@ -302,8 +302,7 @@ def latest_pairs(spark, sf):
 
 @query
 def children(spark, sf):
-    kids = threads.children(_comments(spark, sf))
-    return kids.select("post_id", "parent_id", "part", F.array_join("children", " ").alias("children"))
+    return threads.children(_comments(spark, sf))
 
 
 @query
@@ -339,9 +338,7 @@ def preorder_hot(spark, sf):
 
 @query
 def thread_records(spark, sf):
-    out = threads.threads(threads.build_tree(_comments(spark, sf)))
-    shown = F.transform("comments", lambda c: F.concat(c["comment_id"], F.lit(":"), c["depth"].cast("string")))
-    return out.select("post_id", "thread_id", "part", F.array_join(shown, " ").alias("comments"))
+    return threads.threads(threads.build_tree(_comments(spark, sf)))
 
 
 @query
@@ -506,6 +503,15 @@ def preview_pairs(spark, sf):
     return report.previews(_pairs(spark, sf), "qa_pairs")
 
 
+@query
+def export_latest(spark, sf):
+    """The latest 12,000 orders as cells, numbered in the order they come."""
+    rows = reads.latest(load(spark, sf, "orders"), 12_000, ["o_orderdate", "o_orderkey"])
+    rows = rows.withColumn("_n", F.monotonically_increasing_id())
+    rows = rows.withColumn("place", F.row_number().over(W.orderBy("_n")))
+    return report.format_cells(rows.select("place", "o_orderkey", "o_totalprice", "o_orderdate"))
+
+
 @query
 def export_posts(spark, sf):
     return report.export_frame(enrich.enrich_posts(_posts(spark, sf)), "posts")
@@ -532,7 +538,7 @@ def export_files(spark, sf):
 
 @query
 def format_cells(spark, sf):
-    return report.format_cells(load(spark, sf, "events").select("event_id", "ts", "event_type", "props"))
+    return report.format_cells(load(spark, sf, "events"))
 
 
 @query
@@ -544,12 +550,12 @@ def flatten_struct(spark, sf):
 
 @query
 def column_widths(spark, sf):
-    return report.column_widths(_posts(spark, sf).drop("sentiment_score"))
+    return report.column_widths(_posts(spark, sf))
 
 
 @query
 def column_widths_orders(spark, sf):
-    return report.column_widths(load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    return report.column_widths(load(spark, sf, "orders"))
 
 
 @query
