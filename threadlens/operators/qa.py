@@ -111,8 +111,8 @@ def _by_tier(field: int) -> Column:
     return col
 
 
-def qa_pairs(matches: DataFrame, comments: DataFrame) -> DataFrame:
-    """Pairs with cleaned texts, summed score and tier labels.
+def qa_pairs(matches: DataFrame, comments: DataFrame, posts: DataFrame) -> DataFrame:
+    """Pairs with cleaned texts, summed score, tier labels, and what their order of arrival depends on.
 
     Both ends are stacked so that the texts are fetched by one join on comment_id, unique on both sides; only texts that
     belong to a pair travel on to the second shuffle.
@@ -130,11 +130,13 @@ def qa_pairs(matches: DataFrame, comments: DataFrame) -> DataFrame:
         F.max(F.when(asks, F.col("_t"))).alias("question"),
         F.max(F.when(~asks, F.col("_t"))).alias("answer"),
         F.sum("score").alias("score_signal"),
+        F.max(F.when(asks, F.col("score"))).alias("question_score"),
     )
-    return pairs.select(
+    arrival = posts.select("post_id", F.col("batch_id").alias("post_batch"), F.col("created_utc").alias("post_created"))
+    return pairs.join(arrival, "post_id", "left").select(
         "question_comment_id", "answer_comment_id", "post_id", "question", "answer", "score_signal",
         _by_tier(0).alias("match_type"), _by_tier(1).alias("verification_status"),
-        _by_tier(2).cast("double").alias("confidence_score"),
+        _by_tier(2).cast("double").alias("confidence_score"), "post_batch", "post_created", "question_score",
     )
 
 
@@ -148,7 +150,7 @@ def generate_qa(
     """Pairs of all stored posts, or of the listed ones; an empty list means all. Orphan comments take no part."""
     whole = post_ids is None or (not isinstance(post_ids, DataFrame) and not len(post_ids))
     chosen = posts if whole else posts_by_ids(posts, post_ids)
-    return qa_pairs(match_answers(comments, chosen, max_rows, block), comments)
+    return qa_pairs(match_answers(comments, chosen, max_rows, block), comments, chosen)
 
 
 def qa_summary(posts: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -10,11 +10,12 @@ from threadlens.plans.skew import rank_in_group, top_n
 
 MAX_LITERAL_IDS = 1_000
 
-# Order of "latest" rows per table, newest first and total.
+# Order of "latest" rows per table, newest first and total. Pairs enter post by post in the order of the posts, and within
+# a post by falling score of the question, ties by its id: the last one in is the latest.
 LATEST = {
     "posts": ["batch_id", "created_utc", "post_id"],
     "comments": ["batch_id", "created_utc", "comment_id"],
-    "qa_pairs": ["question_comment_id", "answer_comment_id"],
+    "qa_pairs": ["post_batch", "post_created", "post_id", ("question_score", "asc"), "question_comment_id", "answer_comment_id"],
 }
 
 
@@ -50,6 +51,6 @@ def table_counts(**tables: DataFrame) -> DataFrame:
     return out
 
 
-def latest(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The last `n` rows by `order`, newest first."""
-    return top_n(df, n, [(c, "desc") for c in order])
+def latest(df: DataFrame, n: int, order: Sequence[str | tuple[str, str]]) -> DataFrame:
+    """The last `n` rows by `order`, newest first; a name alone means its largest values are the newest."""
+    return top_n(df, n, [(c, "desc") if isinstance(c, str) else c for c in order])

@@ -24,6 +24,8 @@ COMMENTS = _struct(
 QA_PAIRS = _struct(
     ("question_comment_id", STR), ("answer_comment_id", STR), ("post_id", STR), ("question", STR), ("answer", STR),
     ("score_signal", LONG), ("match_type", STR), ("verification_status", STR), ("confidence_score", DBL),
+    # arrival: pairs enter post by post, the best question of a post first
+    ("post_batch", LONG), ("post_created", TS), ("question_score", LONG),
 )
 METADATA = _struct(("key", STR), ("value", STR))
 REJECTS = _struct(("raw", STR), ("kind", STR), ("reason", STR), ("batch_id", LONG))

@@ -406,10 +406,11 @@ oracle("table_counts", _COUNTS.format(k="table_name"), "posts_fx", "comments_fx"
 oracle("export_summary", _COUNTS.format(k="sheet"), "posts_fx", "comments_fx", recursive=True, **GREEDY)
 _LATEST_P = "order by batch_id desc, posts_fx.created_utc desc, post_id desc limit 3"
 _LATEST_C = "order by batch_id desc, comments_fx.created_utc desc, comment_id desc limit 3"
-_LATEST_Q = "order by question_comment_id desc, answer_comment_id desc limit 3"
+_LATEST_Q = """join posts_fx on posts_fx.post_id = pairs.post_id join c on c.comment_id = pairs.question_comment_id
+    order by posts_fx.batch_id desc, posts_fx.created_utc desc, pairs.post_id desc, c.sc, pairs.question_comment_id desc limit 3"""
 oracle("latest_posts", f"select {_cols(POST_COLS)} from posts_fx {_LATEST_P}", "posts_fx")
 oracle("latest_comments", f"select {_cols(COMMENT_COLS)} from comments_fx {_LATEST_C}", "comments_fx")
-oracle("latest_pairs", f"select * from pairs {_LATEST_Q}", "comments_fx", recursive=True, **PAIRS)
+oracle("latest_pairs", f"select pairs.* from pairs {_LATEST_Q}", "comments_fx", "posts_fx", recursive=True, **PAIRS)
 
 # ---- threads and trees ----
 
@@ -546,9 +547,9 @@ oracle(
 )
 oracle(
     "preview_pairs",
-    f"""select post_id, match_type, verification_status, confidence_score, left(question, 80) question, left(answer, 80) answer
+    f"""select pairs.post_id, match_type, verification_status, confidence_score, left(question, 80) question, left(answer, 80) answer
         from pairs {_LATEST_Q}""",
-    "comments_fx", recursive=True, **PAIRS,
+    "comments_fx", "posts_fx", recursive=True, **PAIRS,
 )
 
 

@@ -294,7 +294,7 @@ def latest_comments(spark, sf):
 
 @query
 def latest_pairs(spark, sf):
-    return _latest(_pairs(spark, sf), "qa_pairs")
+    return _latest(_pairs(spark, sf), "qa_pairs").select(*report.SHEETS["qa_pairs"])
 
 
 # ---- threads and trees ----
@@ -402,13 +402,13 @@ def match_answers_hot(spark, sf):
 
 @query
 def qa_pairs(spark, sf):
-    return _pairs(spark, sf)
+    return _pairs(spark, sf).select(*report.SHEETS["qa_pairs"])
 
 
 @query
 def qa_subset(spark, sf):
     ids = _posts(spark, sf).filter("score >= 30").select("post_id")
-    return _pairs(spark, sf, post_ids=ids)
+    return _pairs(spark, sf, post_ids=ids).select(*report.SHEETS["qa_pairs"])
 
 
 @query
