@@ -11,6 +11,7 @@ from threadlens.functions.vocab import TIERS
 from threadlens.operators.matching import match_grouped, match_rounds
 from threadlens.operators.reads import posts_by_ids, ranked_comments
 from threadlens.plans.skew import BLOCK_ROWS, hot_keys, lookup_join, split_hot
+from threadlens.session import cut_lineage
 
 
 def to_comment(df: DataFrame) -> DataFrame:
@@ -46,7 +47,12 @@ def _candidates(comments: DataFrame) -> DataFrame:
 
 def qa_candidates(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Valid comments with `rank` by score within the post and `is_question`."""
-    return ranked_comments(_candidates(comments), max_rows)
+    return ranked_comments(_read_once(comments), max_rows)
+
+
+def _read_once(comments: DataFrame) -> DataFrame:
+    """Candidates on disk: texts are cleaned once, and counts of keys and both join sides read the slim rows."""
+    return cut_lineage(_candidates(comments))
 
 
 def _best(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,7 +68,7 @@ def _tier(df: DataFrame) -> DataFrame:
 
 def direct_replies(comments: DataFrame) -> DataFrame:
     """Best direct reply of each question, without the no-reuse rule."""
-    c = _candidates(comments)
+    c = _read_once(comments)
     best = _best(c.filter("not is_question"), ["post_id", "parent_id"])
     best = best.withColumnRenamed("parent_id", "comment_id")
     return _tier(c.filter("is_question").join(best, ["post_id", "comment_id"]))
@@ -70,7 +76,7 @@ def direct_replies(comments: DataFrame) -> DataFrame:
 
 def sibling_replies(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Best non-question under the same parent comment, without the no-reuse rule."""
-    c = _candidates(comments)
+    c = _read_once(comments)
     best = _best(c.filter("not is_question"), ["post_id", "parent_id"])
     asks = c.filter("is_question and parent_id <> '' and parent_id <> post_id")
     return _tier(lookup_join(asks, best, ["post_id", "parent_id"], "inner", max_rows))
@@ -78,7 +84,7 @@ def sibling_replies(comments: DataFrame, max_rows: int | None = None) -> DataFra
 
 def fallback_replies(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Best non-question of the post, without the no-reuse rule."""
-    c = _candidates(comments)
+    c = _read_once(comments)
     best = _best(c.filter("not is_question"), ["post_id"])
     return _tier(lookup_join(c.filter("is_question"), best, ["post_id"], "inner", max_rows))
 
