@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadlens.session import scratch_path
@@ -19,6 +21,17 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
+def hash_sample(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """About `rows` rows picked by a hash of `keys`, or all where there are fewer: for fits, whose input is bounded.
+
+    Rows are thinned where they lie, so a limit that follows gathers little in one task, however large the table.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(F.lit(rows), *keys), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+
+
 def staged(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
     """Writes a frame to the shared folder and reads it back: lineage ends there and survives lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -5,8 +5,8 @@ overlapping spans of each kind; boosted trees score them by their format and by
 threshold calibrated on held-out candidates are added where they touch no base span and no better candidate.
 
 The trees learn from the text itself: a candidate is a positive where it overlaps a base span of its kind, the other
-candidates are negatives. The fit sees at most `FIT_ROWS` candidates as rows of numbers, picked by a hash; candidates
-themselves come from every text. Everything runs inside the row: matches are cut out by the pattern once more to get
+candidates are negatives. The fit sees at most `FIT_ROWS` candidates of about `FIT_DOCS` texts, picked by a hash, as rows of numbers; detection
+itself reads every text. Everything runs inside the row: matches are cut out by the pattern once more to get
 their offsets, so no text is exploded or shuffled. Texts without a digit or an at sign are done after one look.
 
 The patterns are written so that they scan in linear time: a run is entered only at its start and given up as a whole.
@@ -20,8 +20,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadlens.llm import boosting
-from threadlens.llm.common import text_of
+from threadlens.llm.common import hash_sample, text_of
 
+FIT_DOCS = 50_000  # texts whose candidates are looked at for the fit
 FIT_ROWS = 20_000
 PRECISION = 0.99
 CONTEXT = 24  # characters looked at on either side
@@ -167,7 +168,8 @@ class Detector(NamedTuple):
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> Detector | None:
     """Trees that tell candidates like the base spans from the others, or None where the texts hold only one sort."""
-    rows = candidates(base_spans(docs.select(id_col, text_col), text_col), text_col).select(id_col, F.explode("_c").alias("c"))
+    some = hash_sample(docs.select(id_col, text_col), [id_col], FIT_DOCS)
+    rows = candidates(base_spans(some, text_col), text_col).select(id_col, F.explode("_c").alias("c"))
     order = [F.xxhash64(id_col, "c.start", "c.kind"), F.col("c.x")]
     found = rows.select(id_col, "c").orderBy(*order).limit(fit_rows).select("c.x", "c.same").collect()
     fitted = boosting.fit_calibrated([r["x"] for r in found], [int(r["same"]) for r in found], precision)

@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadlens.llm.common import SPACE, WORD, text_of
+from threadlens.llm.common import SPACE, WORD, hash_sample, text_of
 
 FIT_ROWS = 20_000
 MAX_RULES = 8
@@ -165,7 +165,8 @@ def cover(rows: list[tuple[dict, bool]]) -> list[list[Condition]]:
 
 def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> list[list[Condition]]:
     """The decision list for `labels` (id, quality 0 or 1), fitted on at most `fit_rows` labelled documents."""
-    marks = labels.filter(F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_l_id")).agg(F.min("quality").alias("_quality"))
+    known = hash_sample(labels.filter(F.col("quality").isNotNull()), [id_col], fit_rows)
+    marks = known.groupBy(F.col(id_col).alias("_l_id")).agg(F.min("quality").alias("_quality"))
     marks = F.broadcast(marks.orderBy(F.xxhash64("_l_id"), "_l_id").limit(fit_rows))
     seen = docs.select(id_col, text_col).join(marks, F.col(id_col) == F.col("_l_id"))
     seen = text_statistics(seen, text_col).filter(~base_failed())

@@ -293,7 +293,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_s
     asked = kinds.join(mixed_seeds.select("seed", "k"), "seed").select(
         "one.id", "one.h", F.struct("seed", (F.col("n") == 1).alias("alone"), "one.at").alias("x"), F.col("k") > max_stretches
     )
-    asked = asked.toDF("a_id", "a_h", "x", "hot").groupBy("a_id", "a_h", "hot").agg(F.collect_list("x").alias("asked"))
+    asked = asked.toDF("a_id", "a_h", "x", "hot").groupBy("a_id", "a_h", "hot").agg(F.collect_set("x").alias("asked"))
     packed = rows.mapInArrow(_compress, "id bigint, h bigint, packed binary")
     joined = packed.join(asked, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("h") == F.col("a_h")))
     schema = "seed bigint, alone boolean, id bigint, h bigint, first bigint, data binary"
@@ -347,7 +347,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("text"))
     cuts = spans(docs, id_col, text_col, max_stretches)
-    cuts = staged(cuts.groupBy("id", "h").agg(F.collect_list(F.struct("start", "stop")).alias("found")), "suffix-cuts").toDF("c_id", "c_h", "found")
+    cuts = staged(cuts.groupBy("id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("found")), "suffix-cuts").toDF("c_id", "c_h", "found")
     packed = rows.mapInArrow(_compress, "id bigint, h bigint, packed binary")
     joined = packed.join(cuts, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h")), "left")
     out = joined.select("id", "packed", "found").mapInArrow(_cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
