@@ -619,3 +619,5 @@ oracle(
               cast(o_totalprice as varchar) o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') o_orderdate
        from orders order by orders.o_orderdate desc, orders.o_orderkey desc limit 12000""",
 )
+for _n in ("posts", "comments"):
+    ORACLES[f"mixed_loads_{_n}"] = ORACLES[f"update_load_{_n}"]

@@ -168,6 +168,28 @@ def stream_load(spark, sf):
     return tables.read("comments").select("comment_id").unionByName(ids)
 
 
+def _mixed_loads(spark: SparkSession, sf: str) -> Tables:
+    """The first load as a stream, the second as a batch, then the stream again with nothing new: none touches another."""
+    tables = Tables(spark, scratch_path(spark, "tables"))
+    dump, checkpoint = scratch_path(spark, "dump"), scratch_path(spark, "stream")
+    at = dt.datetime.fromisoformat(INGEST_TS)
+    _items(spark, sf, 1).write.json(dump)
+    ingest_stream(tables, dump, checkpoint, ingest_ts=at).awaitTermination()
+    workflow.ingest(tables, _items(spark, sf, 2), "update", at)
+    ingest_stream(tables, dump, checkpoint, ingest_ts=at).awaitTermination()
+    return tables
+
+
+@query
+def mixed_loads_posts(spark, sf):
+    return _iso(_mixed_loads(spark, sf).read("posts"))
+
+
+@query
+def mixed_loads_comments(spark, sf):
+    return _iso(_mixed_loads(spark, sf).read("comments"))
+
+
 @query
 def cap_per_post(spark, sf):
     return ing.cap_per_post(_posts(spark, sf), _comments(spark, sf), 900)[1].select("comment_id", "post_id", "score")
