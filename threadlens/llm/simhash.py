@@ -224,7 +224,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows equal in id and text count as one document: they stay or go together.
     """
-    groups = near_groups(docs, id_col, text_col)
+    return drop_later(docs, near_groups(docs, id_col, text_col), id_col, text_col)
+
+
+def drop_later(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`docs` without the rows that are not the first of their group; `groups` names id, hash and label of rows in groups."""
     groups = staged(groups.select("label", F.col(id_col).isNull().alias("no"), F.col(id_col).alias("_n_id"), F.col("hash").alias("_n_hash")), "simhash-groups")
     order = F.struct("no", "_n_id", "_n_hash")
     best = groups.groupBy("label").agg(F.min(order).alias("best"))
