@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, mixing, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
+from threadlens.llm import exact_dedup, lexical_search, mixing, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -83,6 +83,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(quality_rules.text_statistics(docs), rules).select(*columns)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 ORACLES = {
@@ -104,3 +109,20 @@ ORACLES = {
         from t
     """,
 }
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op11_lexical_search"] = f"""
+    with d as (select row_number() over () as rid, doc_id, {_TERMS} as t from documents),
+    g as (select count(*) filter (where len(t) > 0) as big_n, sum(len(t)) as big_l from d),
+    p as (select rid, doc_id, term, count(*) as tf from (select rid, doc_id, unnest(t) as term from d) group by all),
+    f as (select term, count(*) as df from p group by term),
+    m as (select rid, 75 + (25 * len(t) * big_n) // big_l as m from d, g where len(t) > 0),
+    w as (select term, cast(floor(1000 * ln((2 * big_n + 2)::double / (2 * df + 1))) as bigint) as w from f, g),
+    q as (select item_id, unnest({_TERMS}) as term from benchmark),
+    s as (select q.item_id, p.rid, p.doc_id, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * m.m))) as score
+          from q join w using (term) join p using (term) join m using (rid) group by q.item_id, p.rid, p.doc_id)
+    select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score from (
+        select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0)
+    where rank <= 20
+"""
