@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, lexical_search, mixing, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
+from threadlens.llm import exact_dedup, lexical_search, mixing, quality_model, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -87,6 +87,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.score(docs, quality_model.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
     "op11_lexical_search": op11_lexical_search,
+    "op12_quality_model": op12_quality_model,
 }
 
 ORACLES = {
