@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadlens.llm import exact_dedup, lexical_search, mixing, quality_model, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
+from threadlens.llm import conversation_repair, exact_dedup, lexical_search, mixing, quality_model, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, token_store, url_filter
 from threadlens.session import scratch_path
 
 MAX_TOKENS = 1024
@@ -92,6 +92,10 @@ def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, quality_model.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
@@ -105,6 +109,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_lexical_search": op11_lexical_search,
     "op12_quality_model": op12_quality_model,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
