@@ -223,3 +223,33 @@ def test_caps(spark):
     assert {r.post_id: r["count"] for r in some.groupBy("post_id").count().collect()} == {"p3": 50, "p4": 50}
     best = sorted((r for r in rows if r[1] in ("p3", "p4") and r[3] <= 5), key=lambda r: (-r[2], r[0]))[:40]
     assert sorted(r.comment_id for r in ing.cap_total(posts, comments, 2)[1].collect()) == sorted(r[0] for r in best)
+
+
+def test_loads_beside_each_other(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def comment(i, n):
+        return json.dumps({"dataType": "comment", "id": f"c{i}", "postId": "p", "body": f"from {n}"})
+
+    for threads in (2, 8):
+        tables = Tables(spark, scratch_path(spark, "tables"))
+
+        def load(n):
+            rows = [comment(i, n) for i in range(n % 3, 12, 1 + n % 2)] + [f"{{broken {n}"]
+            return workflow.ingest(tables, read_items(spark, write_lines(spark, rows)), "update", NOW).first()
+
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(load, range(threads)))
+        ids = [r.comment_id for r in tables.read("comments").collect()]
+        assert sorted(ids) == sorted(f"t1_c{i}" for i in range(12))  # each key once
+        rejects = tables.read("rejects").collect()
+        assert len(rejects) == threads and len({r.batch_id for r in rejects}) == threads  # one number a load
+        assert len(tables.commits()) == threads
+
+    # a load beside a rewrite of the same tables keeps its rows
+    with ThreadPoolExecutor(2) as pool:
+        rewrite = pool.submit(workflow.run_enrichment, tables)
+        late = pool.submit(lambda: workflow.ingest(tables, read_items(spark, write_lines(spark, [comment(99, 0)])), "update", NOW).first())
+        rewrite.result(), late.result()
+    assert "t1_c99" in {r.comment_id for r in tables.read("comments").collect()}
+    assert tables.read("comments").count() == 13

@@ -18,10 +18,12 @@ ARRIVAL = ["batch_id", "created_utc"]
 def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.datetime | None = None) -> DataFrame:
     """Adds the new posts and comments of one load; running the same load again changes nothing. Returns the counts.
 
-    The raw items are parsed once, into a staging folder that the three tables are then filled from.
+    The raw items are parsed once, into a staging folder of this run alone. The rows are kept apart until the load
+    wins a slot of the commit log; before each try, rows whose keys a load committed since then holds are dropped, so
+    loads beside each other store each key once.
     """
     now = F.lit(ingest_ts or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
-    staging = f"{tables.root}/_staging/{batch_id}"
+    staging = f"{tables.root}/_staging/{uuid.uuid4().hex}"
     items.write.mode("overwrite").parquet(staging)
     items = tables.spark.read.schema(items.schema).parquet(staging)
     raw_posts, raw_comments = ing.split_items(items)
@@ -29,14 +31,37 @@ def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.da
         "posts": ing.normalize_posts(raw_posts, now, batch_id),
         "comments": ing.normalize_comments(raw_comments, now, batch_id),
     }
+    seen = max([slot for slot, _, _ in tables.commits()], default=0)
+    staged = {}
     for name, rows in good.items():
         stored = tables.read(name).filter(F.col("batch_id") != batch_id)
-        tables.write_batch(name, ing.insert_ignore(stored, rows, KEYS[name], ARRIVAL), batch_id)
-    tables.write_batch("rejects", ing.reject_items(items, batch_id), batch_id)
+        staged[name] = _stage(tables, name, ing.insert_ignore(stored, rows, KEYS[name], ARRIVAL))
+    staged["rejects"] = _stage(tables, "rejects", ing.reject_items(items, batch_id))
+    while True:
+        newer = [c for c in tables.commits(seen) if c[1] != batch_id]
+        for name in good:
+            if newer:
+                rows = tables.spark.read.schema(tables.read(name).schema).parquet(staged[name]).withColumn("batch_id", F.lit(batch_id))
+                taken = None
+                for entry in newer:
+                    keys = tables.committed_rows(name, entry).select(*KEYS[name])
+                    taken = keys if taken is None else taken.unionByName(keys)
+                staged[name] = _stage(tables, name, rows.join(taken, KEYS[name], "left_anti"))
+        seen = max([seen, *[slot for slot, _, _ in newer]])
+        if tables.try_commit(seen + 1, batch_id, staged):  # all slots up to `seen` are checked against
+            break
+    for name, path in staged.items():
+        tables.publish(name, path, batch_id)
     tables._remove(staging)
     return ing.ingest_summary(*[tables.read(n).filter(F.col("batch_id") == batch_id) for n in ("posts", "comments")])
 
 
+def _stage(tables: Tables, name: str, rows: DataFrame) -> str:
+    path = tables.pending(name)
+    rows.drop("batch_id").write.parquet(path)
+    return path
+
+
 def ingest(tables: Tables, items: DataFrame, mode: str = "update", ingest_ts: dt.datetime | None = None) -> DataFrame:
     """`fresh` clears all tables first, rejects included; `update` adds what is new."""
     if mode not in ("fresh", "update"):
