@@ -621,3 +621,4 @@ oracle(
 )
 for _n in ("posts", "comments"):
     ORACLES[f"mixed_loads_{_n}"] = ORACLES[f"update_load_{_n}"]
+ORACLES["parallel_loads"] = ORACLES["stream_load"]

@@ -168,6 +168,20 @@ def stream_load(spark, sf):
     return tables.read("comments").select("comment_id").unionByName(ids)
 
 
+@query
+def parallel_loads(spark, sf):
+    """Three loads at once on one root: both loads of the dump and the first again. Each key is stored once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables = Tables(spark, scratch_path(spark, "tables"))
+    at = dt.datetime.fromisoformat(INGEST_TS)
+    with ThreadPoolExecutor(3) as pool:
+        runs = [pool.submit(workflow.ingest, tables, _items(spark, sf, n), "update", at) for n in (1, 2, 1)]
+        [run.result() for run in runs]
+    ids = tables.read("posts").select(F.col("post_id").alias("comment_id"))
+    return tables.read("comments").select("comment_id").unionByName(ids)
+
+
 def _mixed_loads(spark: SparkSession, sf: str) -> Tables:
     """The first load as a stream, the second as a batch, then the stream again with nothing new: none touches another."""
     tables = Tables(spark, scratch_path(spark, "tables"))
