@@ -130,3 +130,26 @@ def test_posts_by_ids(spark):
     ids = [f"p{i}" for i in range(3, 2000)]
     assert sorted(r.post_id for r in reads.posts_by_ids(posts, ids).collect()) == ["p3", "p4"]
     assert reads.posts_by_ids(posts, []).isEmpty()
+
+
+@pytest.mark.parametrize("seed", [5, 11])
+def test_euler_walk_equals_plain_walk(spark, seed):
+    rows = forest(seed)
+    want = {}
+    for post, top in walk(rows).items():
+        for i, n in enumerate(flat(top), 1):
+            thread = next(t["comment_id"] for t in top if n in flat([t]))
+            want[(post, n["comment_id"])] = (thread, n["depth"], i)
+    got = threads.euler_walk(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.post_id, r.comment_id): (r.thread_id, r.depth, r.preorder) for r in got} == want
+    assert len(got) == len(want)
+
+
+def test_euler_walk_long_chain_beside_a_cycle(spark):
+    n = 20_000
+    chain = [("p", "c0", "p", "x", 1)] + [("p", f"c{i}", f"c{i - 1}", "x", 1) for i in range(1, n)]
+    cycle = [("p", "y0", "y2", "x", 1), ("p", "y1", "y0", "x", 1), ("p", "y2", "y1", "x", 1), ("p", "y3", "y1", "x", 1)]
+    got = threads.euler_walk(spark.createDataFrame(chain + cycle, SCHEMA))
+    assert got.count() == n
+    last = got.filter("comment_id = 'c19999'").first()
+    assert (last.depth, last.preorder, last.thread_id) == (n - 1, n, "c0")

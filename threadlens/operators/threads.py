@@ -5,7 +5,7 @@ Results have one row per comment at every size: no parent, thread or post ever h
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from threadlens.operators.reads import by_score
 from threadlens.plans.skew import lookup_join, rank_in_group
@@ -72,14 +72,80 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     return settled.select("post_id", "comment_id", "thread_id", "path", (F.size("path") - 1).alias("depth"))
 
 
+def euler_walk(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """post_id, comment_id, thread_id, depth, preorder of the comments reachable from their post, without paths.
+
+    Every comment is two elements of an Euler tour: going down to it and coming back up. Down leads to its first child,
+    or else back up; up leads to its next sibling, or else up from its parent; up from the last top-level comment ends
+    the tour. Ranking this list by pointer jumping gives every element the sums of its successors (downs for the
+    pre-order number, +1 and -1 for the depth) in about log2 of the post's rows rounds of one join each, over rows of
+    fixed width. Lists that end elsewhere (a missing parent) or never end (a cycle: still unfinished after the rounds
+    that the largest post could need) drop out.
+    """
+    ranked = cut_lineage(sibling_rank(comments.select("post_id", "comment_id", "parent_id", "score"), max_rows).drop("score"))
+    first = ranked.filter("sibling_rank = 1").select("post_id", F.col("parent_id").alias("comment_id"), F.col("comment_id").alias("_first"))
+    after = ranked.select("post_id", "parent_id", (F.col("sibling_rank") - 1).alias("sibling_rank"), F.col("comment_id").alias("_next"))
+    present = ranked.select("post_id", F.col("comment_id").alias("parent_id"), F.lit(True).alias("_known"))
+    nodes = ranked.join(first, ["post_id", "comment_id"], "left").join(after, ["post_id", "parent_id", "sibling_rank"], "left")
+    nodes = nodes.join(present, ["post_id", "parent_id"], "left")
+    top = F.coalesce(F.col("parent_id") == F.col("post_id"), F.lit(False))
+    climb = ~top & F.col("_known").isNotNull()
+    down = nodes.select(
+        "post_id", F.col("comment_id").alias("node"), F.lit(False).alias("up"),
+        F.coalesce("_first", "comment_id").alias("nxt"), F.col("_first").isNull().alias("nxt_up"), F.lit(None).cast("boolean").alias("ok"),
+    )
+    up = nodes.select(
+        "post_id", F.col("comment_id").alias("node"), F.lit(True).alias("up"),
+        F.when(F.col("_next").isNotNull(), F.col("_next")).when(climb, F.col("parent_id")).alias("nxt"),
+        F.col("_next").isNull().alias("nxt_up"),
+        F.when(F.col("_next").isNull() & ~climb, top).alias("ok"),
+    )
+    elements = down.unionByName(up)
+    has_next = F.col("nxt").isNotNull()
+    elements = elements.select(
+        "*",
+        F.when(has_next & ~F.col("nxt_up"), 1).otherwise(0).cast("bigint").alias("s_pre"),
+        F.when(has_next, F.when(F.col("nxt_up"), -1).otherwise(1)).otherwise(0).cast("bigint").alias("s_depth"),
+    )
+    elements = cut_lineage(elements)
+    largest = ranked.groupBy("post_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(max(2 * largest, 2).bit_length() + 1):
+        if elements.filter(has_next).isEmpty():
+            break
+        target = elements.select(
+            "post_id", F.col("node").alias("nxt"), F.col("up").alias("nxt_up"),
+            F.col("nxt").alias("_nxt"), F.col("nxt_up").alias("_nxt_up"), F.col("ok").alias("_ok"),
+            F.col("s_pre").alias("_pre"), F.col("s_depth").alias("_depth"),
+        )
+        moving = elements.filter(has_next).join(target, ["post_id", "nxt", "nxt_up"], "left")
+        moving = moving.select(
+            "post_id", "node", "up", F.col("_nxt").alias("nxt"), F.col("_nxt_up").alias("nxt_up"), F.col("_ok").alias("ok"),
+            (F.col("s_pre") + F.col("_pre")).alias("s_pre"), (F.col("s_depth") + F.col("_depth")).alias("s_depth"),
+        )
+        elements = cut_lineage(elements.filter(~has_next).unionByName(moving))
+    walked = elements.filter(~F.col("up") & ~has_next & F.coalesce("ok", F.lit(False)))
+    walked = walked.select("post_id", F.col("node").alias("comment_id"), "s_pre", (-F.col("s_depth") - 1).alias("depth"))
+    total = walked.groupBy("post_id").agg(F.max("s_pre").alias("_total"))
+    walked = walked.join(total, "post_id").withColumn("preorder", F.col("_total") + 1 - F.col("s_pre"))
+    along = Window.partitionBy("post_id").orderBy("preorder").rowsBetween(Window.unboundedPreceding, 0)
+    thread = F.last(F.when(F.col("depth") == 0, F.col("comment_id")), ignorenulls=True).over(along)
+    return walked.select("post_id", "comment_id", thread.alias("thread_id"), F.col("depth").cast("int"), "preorder")
+
+
+def _walk_order(tree: DataFrame) -> list:
+    return [F.col("preorder").asc()] if "preorder" in tree.columns else [F.col("path").asc()]
+
+
 def flatten_tree(tree: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Adds `preorder`, from 1 within each post."""
+    """Adds `preorder`, from 1 within each post; a tree from `euler_walk` has it already."""
+    if "preorder" in tree.columns:
+        return tree
     return rank_in_group(tree, ["post_id"], [F.col("path").asc()], "preorder", max_rows)
 
 
 def threads(tree: DataFrame, max_rows: int | None = None) -> DataFrame:
     """post_id, thread_id, position, comment_id, depth: the comments of each thread in order, from position 1."""
-    ranked = rank_in_group(tree, ["post_id", "thread_id"], [F.col("path").asc()], "position", max_rows)
+    ranked = rank_in_group(tree, ["post_id", "thread_id"], _walk_order(tree), "position", max_rows)
     return ranked.select("post_id", "thread_id", "position", "comment_id", "depth")
 
 

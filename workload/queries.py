@@ -362,25 +362,25 @@ def tree_depth_hot(spark, sf):
 
 @query
 def preorder(spark, sf):
-    tree = threads.flatten_tree(threads.build_tree(_comments(spark, sf)))
+    tree = threads.euler_walk(_comments(spark, sf))
     return tree.select("post_id", "comment_id", "preorder")
 
 
 @query
 def preorder_hot(spark, sf):
-    tree = threads.flatten_tree(threads.build_tree(_comments(spark, sf)), HOT_ROWS)
+    tree = threads.euler_walk(_comments(spark, sf), HOT_ROWS)
     return tree.select("post_id", "comment_id", "preorder")
 
 
 @query
 def thread_records(spark, sf):
-    return threads.threads(threads.build_tree(_comments(spark, sf)))
+    return threads.threads(threads.euler_walk(_comments(spark, sf)))
 
 
 @query
 def thread_documents(spark, sf):
     c = _comments(spark, sf).select("comment_id", "post_id", "parent_id", "author", "body", "score", "depth")
-    return threads.thread_documents(threads.build_tree(c), c)
+    return threads.thread_documents(threads.euler_walk(c), c)
 
 
 @query
