@@ -161,8 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     target = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     target = target.groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("_y"))
     target = target.filter(~held_out())
-    rows = featurised(docs, id_col, text_col).join(target, "doc_id")
-    picked = hash_sample(rows, ["doc_id"], fit_rows).toPandas()
+    labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(target, "doc_id")
+    stats = statistics(text_of("text"))  # of the picked labelled rows only
+    chosen = hash_sample(labelled, ["doc_id"], fit_rows)
+    picked = chosen.select("_y", *[stats[n].alias(f"f_{n}") for n in FEATURES]).toPandas()
     x = picked[[f"f_{n}" for n in FEATURES]].to_numpy(np.float64)
     return fit_arrays(x, picked["_y"].to_numpy(np.float64))
 
