@@ -67,3 +67,10 @@ def test_other_columns_are_ignored(spark):
     d = spark.createDataFrame([(1, "red fish", 5, "x")], "doc_id bigint, text string, m bigint, term string")
     i = spark.createDataFrame([(0, "fish", 3)], "item_id bigint, text string, qn bigint")
     assert [tuple(r)[:3] for r in S.search(d, i).collect()] == [(0, 1, 1)]
+
+
+def test_shuffled_joins_give_the_same_ranking(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
+    docs = [(n, " ".join(["alpha", "beta", "the"][: 1 + n % 3] * (1 + n % 5))) for n in range(40)]
+    items = [(0, "alpha the"), (1, "beta")]
+    assert run(spark, docs, items, top=7) == brute(docs, items, top=7)

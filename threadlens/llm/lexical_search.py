@@ -9,7 +9,8 @@ one stratum. The index keeps postings (term, m, tf, document) for the queried te
 A query's score of a document sums w * impact over its terms, repeats included, with w = floor(1000 ln((2N+2)/(2df+1))).
 Since impact grows with tf, the largest tf of a term in a stratum bounds every score there. Strata are visited in
 order of that bound until they are sure to hold `top` documents of positive score; the `top`-th score among them is a
-floor, and only strata whose bound reaches it are scored in full. Nothing below the floor can enter the result, so the
+floor, and only strata whose bound reaches it are scored. Inside a stratum, terms whose summed bounds stay below the
+floor only add to documents found through the other terms. Nothing below the floor can enter the result, so the
 ranking is the same as scoring every document.
 
 Results: per item, its `top` highest positive scores, equal scores by ascending doc_id (rows of one doc_id in any
@@ -29,6 +30,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 TOP = 20
 
+BROADCAST_ROWS = 2_000_000  # query-side rows or candidates broadcast at most; beyond, joins shuffle
+
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
@@ -37,15 +40,16 @@ def terms(text: Column) -> Column:
 def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(postings, strata) for the terms of `vocabulary` (one column `term`), staged in the shared folder.
 
-    postings: term, m, tf, impact, rid (row key), doc_id. strata: term, m, df of the term in the stratum, top_impact.
-    Both carry `w` of the term. Counts N, L and df cover every document.
+    postings: term, m, tf, rid (row key), doc_id, w, impact. strata: term, m, w, df of the term in the stratum,
+    top_impact. N and L come from a count of term matches over every text, df from all postings of a term.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), terms(F.col(text_col)).alias("t"))
-    rows = rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("n", F.size("t").cast("bigint"))
-    rows = staged(rows.filter("n > 0"), "search-rows")
-    totals = rows.agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    totals = docs.select(F.regexp_count(text, F.lit(TERM)).cast("bigint").alias("n"))
+    totals = totals.agg(F.count_if(F.col("n") > 0).alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = totals["N"], totals["L"] or 0
-    with_m = rows.withColumn("m", F.lit(75) + F.expr(f"(25 * n * {big_n}) div {max(big_l, 1)}"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), terms(F.col(text_col)).alias("t"))
+    rows = rows.withColumn("rid", F.monotonically_increasing_id())
+    with_m = rows.withColumn("m", F.lit(75) + F.expr(f"(25 * cast(size(t) as bigint) * {big_n}) div {max(big_l, 1)}"))
     words = with_m.select("rid", "doc_id", "m", F.explode("t").alias("term"))
     words = words.join(vocabulary.select("term").distinct(), "term", "left_semi")
     counted = words.groupBy("term", "m", "rid", "doc_id").agg(F.count("*").alias("tf"))
@@ -68,9 +72,31 @@ def query_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     return words.groupBy("item_id", "term").agg(F.count("*").alias("qn"))
 
 
-def _scores(asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """asked: item_id, term, m, qn. Sums of qn * w * impact per item and document row."""
-    hits = asked.select("item_id", "term", "m", "qn").join(postings, ["term", "m"])
+def _small(df: DataFrame, name: str) -> DataFrame:
+    """Staged; marked for broadcast when its counted rows stay within `BROADCAST_ROWS`, else joined by shuffle."""
+    df = staged(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _scores(asked: DataFrame, postings: DataFrame, floor: Column) -> DataFrame:
+    """asked: item_id, term, m, qn, c (qn * w * top_impact); `floor` a column of it. Sums of qn * w * impact per item
+    and document row, for every document that can reach the floor.
+
+    Within a stratum, the terms of least c whose c sum stays below the floor are not essential: a document holding
+    only those cannot reach it. Candidates come from the postings of essential terms; postings of the others count for
+    candidates only. The query side and the candidates are the small sides: when their counted rows are within bound
+    they are broadcast and the postings stream past them without a shuffle.
+    """
+    order = Window.partitionBy("item_id", "m").orderBy("c", "term").rowsBetween(Window.unboundedPreceding, 0)
+    marked = asked.withColumn("essential", F.sum("c").over(order) >= floor)
+    keys = ["item_id", "term", "m", "qn"]
+    essential = _small(marked.filter("essential").select(*keys), "search-essential")
+    found = postings.join(essential, ["term", "m"]).select("item_id", "rid", "doc_id", "qn", "w", "impact")
+    found = staged(found, "search-found")
+    candidates = _small(found.select("item_id", "rid").distinct(), "search-candidates")
+    others = _small(marked.filter("not essential").select(*keys), "search-others")
+    rest = postings.join(others, ["term", "m"]).join(candidates, ["item_id", "rid"], "left_semi")
+    hits = found.unionByName(rest.select("item_id", "rid", "doc_id", "qn", "w", "impact"))
     return hits.groupBy("item_id", "rid", "doc_id").agg(F.sum(F.col("qn") * F.col("w") * F.col("impact")).alias("score"))
 
 
@@ -85,16 +111,18 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     wanted = query_terms(items)
     postings, strata = build_index(docs, wanted)
     asked = wanted.join(strata, "term")  # (item, term, stratum) only where the stratum holds the term
+    asked = asked.withColumn("c", F.col("qn") * F.col("w") * F.col("top_impact"))
     sure = F.when((F.col("w") > 0) & (F.col("top_impact") > 0), F.col("df")).otherwise(0)
-    bounds = asked.groupBy("item_id", "m").agg(F.sum(F.col("qn") * F.col("w") * F.col("top_impact")).alias("bound"), F.max(sure).alias("sure"))
+    bounds = asked.groupBy("item_id", "m").agg(F.sum("c").alias("bound"), F.max(sure).alias("sure"))
     by_bound = Window.partitionBy("item_id").orderBy(F.col("bound").desc(), "m").rowsBetween(Window.unboundedPreceding, -1)
     bounds = staged(bounds.withColumn("before", F.coalesce(F.sum("sure").over(by_bound), F.lit(0))), "search-bounds")
-    # First visit: strata of the highest bounds until `top` positive scores are certain.
-    first = bounds.filter(F.col("before") < top).select("item_id", "m")
-    first_scores = _best(_scores(asked.join(first, ["item_id", "m"]), postings), top)
+    # First visit: strata of the highest bounds until `top` positive scores are certain; their `top`-th score is a floor.
+    first = asked.join(bounds.filter(F.col("before") < top).select("item_id", "m"), ["item_id", "m"])
+    first_scores = _best(_scores(first, postings, F.lit(1)), top)
     floors = first_scores.groupBy("item_id").agg(F.min("score").alias("floor"), F.count("*").alias("found"))
     floors = floors.select("item_id", F.when(F.col("found") >= top, F.col("floor")).otherwise(1).alias("floor"))
-    kept = bounds.join(floors, "item_id", "left").filter(F.col("bound") >= F.coalesce(F.col("floor"), F.lit(1)))
-    best = _best(_scores(asked.join(kept.select("item_id", "m"), ["item_id", "m"]), postings), top)
+    kept = bounds.join(floors, "item_id", "left").withColumn("floor", F.coalesce(F.col("floor"), F.lit(1)))
+    kept = kept.filter(F.col("bound") >= F.col("floor")).select("item_id", "m", "floor")
+    best = _best(_scores(asked.join(kept, ["item_id", "m"]), postings, F.col("floor")), top)
     item = F.when(~F.col("item_id.none"), F.col("item_id.id")).alias("item_id")
     return best.select(item, F.col("rank").cast("int"), "doc_id", "score")
