@@ -153,3 +153,31 @@ def test_euler_walk_long_chain_beside_a_cycle(spark):
     assert got.count() == n
     last = got.filter("comment_id = 'c19999'").first()
     assert (last.depth, last.preorder, last.thread_id) == (n - 1, n, "c0")
+
+
+def test_euler_walk_of_large_threads_and_odd_posts(spark):
+    rows = forest(8, 400)
+    plain = threads.euler_walk(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = {(r.post_id, r.comment_id): tuple(r)[2:] for r in plain}
+    assert len(want) == len(plain)
+    # post "odd" names a comment twice: it is ranked as a list, the others are not touched by that
+    odd = [("odd", "o1", "odd", "x", 1), ("odd", "o2", "o1", "x", 1), ("odd", "o3", "gone", "x", 1), ("odd", "o3", "gone", "x", 1), ("odd", None, "o2", "x", 1)]
+    got = threads.euler_walk(spark.createDataFrame(rows + odd + [(None, "n", "n", "x", 1)], SCHEMA), 10).collect()
+    assert {(r.post_id, r.comment_id): tuple(r)[2:] for r in got if r.post_id != "odd"} == want
+    assert ("odd", "o1", "o1", 0, 1, 1) in {tuple(r) for r in got}
+    records = threads.threads(threads.euler_walk(spark.createDataFrame(rows, SCHEMA), 10)).collect()
+    assert {(r.post_id, r.comment_id): (r.thread_id, r.depth, r.position) for r in records} == {k: (v[0], v[1], v[3]) for k, v in want.items()}
+
+
+def test_euler_walk_jobs_follow_depth_not_rows(spark):
+    def jobs(n):
+        wide = [("p", f"c{i}", "p", "x", i) for i in range(n)] + [("p", f"d{i}", f"c{i}", "x", i) for i in range(n)]
+        group = f"walk-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert threads.euler_walk(spark.createDataFrame(wide, SCHEMA)).count() == 2 * n
+        finally:
+            spark.sparkContext.setJobGroup("tests", "tests")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert abs(jobs(3000) - jobs(30)) <= 5
