@@ -91,3 +91,12 @@ def test_hot_and_cold_posts_together(spark):
     expected = [m for m in simulate(rows) if m[0] != "p3"]
     assert collected(qa.match_answers(comments, posts, max_rows=100, block=10)) == expected
     assert collected(qa.match_answers(comments, posts)) == expected
+
+
+def test_rounds_build_no_table_in_the_driver(spark):
+    rows = mixed(4)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")  # any broadcast fails
+    try:
+        assert collected(matching.match_rounds(spark.createDataFrame(rows, SCHEMA))) == simulate(rows)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")

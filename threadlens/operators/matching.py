@@ -24,8 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from threadlens.operators.reads import by_score
-from threadlens.plans.skew import BLOCK_ROWS, hot_keys, lookup_join, rank_in_group, running
-from threadlens.session import cut_lineage
+from threadlens.plans.skew import BLOCK_ROWS, hot_keys, rank_in_group, running
+from threadlens.session import stage
 
 MATCHES = "post_id string, question_comment_id string, answer_comment_id string, tier int"
 _END = 1 << 61  # pointer position once a post has no answer left
@@ -89,19 +89,24 @@ def match_grouped(candidates: DataFrame) -> DataFrame:
 
 
 def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int = BLOCK_ROWS) -> DataFrame:
-    """The same matches for hot posts, by rounds."""
+    """The same matches for hot posts, by rounds.
+
+    Their joins are merge joins by hint: both sides grow with the posts, and sides that adaptive execution still takes for
+    small, by their compressed bytes, would be built as hash tables in the driver, several a round.
+    """
     one = F.lit(1).cast("bigint")
     queue = ["post_id", "g"]
-    ranked = cut_lineage(
+    ranked = stage(
         rank_in_group(candidates, ["post_id"], by_score(), "pos", max_rows).select(
             "post_id", "comment_id", "parent_id", "is_question", "pos"
-        )
+        ),
+        "match-ranked",
     )
     answers = ranked.filter("not is_question").select("post_id", F.col("parent_id").alias("g"), "pos", "comment_id")
     # queues are cut into blocks only where some parent is hot itself; posts always are
     queue_block = None if hot_keys(ranked, ["post_id", "parent_id"], max_rows) is None else block
     queued = running(answers.filter(F.col("g").isNotNull()), queue, "pos", {"j": (F.sum, one)}, block=queue_block)
-    queued = cut_lineage(queued)
+    queued = stage(queued, "match-queues")
     sizes = queued.groupBy("post_id", "g").agg(F.count(F.lit(1)).alias("size"))
 
     asks = ranked.filter("is_question").select(
@@ -112,14 +117,15 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
     )
     own = sizes.select("post_id", F.col("g").alias("question"), F.col("size").alias("size1"))
     side = sizes.select("post_id", F.col("g").alias("g2"), F.col("size").alias("size2"))
-    asks = lookup_join(asks.join(own, ["post_id", "question"], "left"), side, ["post_id", "g2"], "left", max_rows)
-    state = cut_lineage(
+    asks = asks.join(own.hint("merge"), ["post_id", "question"], "left").join(side.hint("merge"), ["post_id", "g2"], "left")
+    state = stage(
         asks.select(
             "post_id", "question", "g2", "t", "size1", "size2",
             F.when(F.col("size1").isNotNull(), 1).when(F.col("size2").isNotNull(), 2).otherwise(3).alias("tier"),
             F.lit(0).cast("bigint").alias("pointer"),
             F.lit(None).cast("string").alias("answer"),
-        )
+        ),
+        "match-state",
     )
     # only queues that some question may ask for take part in the rounds
     wanted = (
@@ -127,7 +133,7 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
         .unionByName(state.filter("size2 is not null").select("post_id", F.col("g2").alias("g")))
         .distinct()
     )
-    queued = cut_lineage(lookup_join(queued, wanted, ["post_id", "g"], "left_semi", max_rows))
+    queued = stage(queued.join(wanted.hint("merge"), ["post_id", "g"], "left_semi"), "match-queues")
     while True:
         requests = state.filter("size1 is not null").select(
             "post_id", F.col("question").alias("g"), "t", F.lit(1).alias("kind"), "pointer", F.col("size1").alias("size")
@@ -146,7 +152,7 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
             .filter("_mark = 1")
             .select(*queue, "t", "_passed")
         )
-        requests = requests.join(passed, [*queue, "t"], "left")
+        requests = requests.join(passed.hint("merge"), [*queue, "t"], "left")
         requests = running(
             requests, queue, "t", {"i": (F.sum, one), "passed": (F.max, F.col("_passed"))}, ties=["kind"], block=queue_block
         )
@@ -155,12 +161,12 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
         served = (
             requests.withColumn("j", F.col("i") + F.greatest("_most", F.lit(0)))
             .filter("j <= size")
-            .join(queued, [*queue, "j"])
+            .join(queued.hint("merge"), [*queue, "j"])
             .select("post_id", "t", "kind", "pos", "comment_id")
         )
-        served = cut_lineage(served)
+        served = stage(served, "match-served")
         got = served.groupBy("post_id", "t").agg(F.min(F.struct("kind", "comment_id")).alias("_got"))
-        nxt = state.join(got, ["post_id", "t"], "left").select(
+        nxt = state.join(got.hint("merge"), ["post_id", "t"], "left").select(
             *state.columns,
             F.coalesce("_got.kind", F.lit(3)).alias("tier_new"),
             F.col("_got.comment_id").alias("taken"),
@@ -168,11 +174,12 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
         fallback = running(
             nxt.filter("tier_new = 3").select("post_id", "t"), ["post_id"], "t", {"k": (F.sum, one)}, block=block
         )
-        free = answers.join(served.select("post_id", "pos"), ["post_id", "pos"], "left_anti")
+        free = answers.join(served.select("post_id", "pos").hint("merge"), ["post_id", "pos"], "left_anti")
         free = running(free, ["post_id"], "pos", {"k": (F.sum, one)}, block=block)
-        falls = fallback.join(free.select("post_id", "k", "pos", F.col("comment_id").alias("free")), ["post_id", "k"], "left")
-        falls = cut_lineage(falls.select("post_id", "t", "free", F.coalesce("pos", F.lit(_END)).alias("_moved")))
-        nxt = nxt.join(falls, ["post_id", "t"], "left")
+        free = free.select("post_id", "k", "pos", F.col("comment_id").alias("free"))
+        falls = fallback.join(free.hint("merge"), ["post_id", "k"], "left")
+        falls = stage(falls.select("post_id", "t", "free", F.coalesce("pos", F.lit(_END)).alias("_moved")), "match-falls")
+        nxt = nxt.join(falls.hint("merge"), ["post_id", "t"], "left")
         nxt = running(nxt, ["post_id"], "t", {"_pointer": (F.max, F.col("_moved"))}, inclusive=False, block=block)
         nxt = nxt.withColumn("pointer_new", F.coalesce("_pointer", F.lit(0).cast("bigint")))
         nxt = nxt.withColumn("answer_new", F.coalesce("taken", "free"))
@@ -181,12 +188,13 @@ def match_rounds(candidates: DataFrame, max_rows: int | None = None, block: int
             | (F.col("pointer") != F.col("pointer_new"))
             | ~F.col("answer").eqNullSafe(F.col("answer_new"))
         )
-        nxt = cut_lineage(
+        nxt = stage(
             nxt.select(
                 "post_id", "question", "g2", "t", "size1", "size2",
                 F.col("tier_new").alias("tier"), F.col("pointer_new").alias("pointer"), F.col("answer_new").alias("answer"),
                 moved.alias("moved"),
-            )
+            ),
+            "match-state",
         )
         settled = nxt.filter("moved").isEmpty()
         state = nxt.drop("moved")

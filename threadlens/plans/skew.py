@@ -113,7 +113,7 @@ def running(
         parts = [F.col(f"_c_{name}"), F.col(f"_i_{name}")]
         return F.greatest(*parts) if fn is F.max else sum((F.coalesce(x, F.lit(0)) for x in parts), F.lit(0))
 
-    return rows.join(carried, on, "left").select(*df.columns, *[both(n, fn).alias(n) for n, (fn, _) in aggs.items()])
+    return rows.join(carried.hint("merge"), on, "left").select(*df.columns, *[both(n, fn).alias(n) for n, (fn, _) in aggs.items()])
 
 
 def join_hot(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None) -> DataFrame:
