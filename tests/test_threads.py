@@ -181,3 +181,15 @@ def test_euler_walk_jobs_follow_depth_not_rows(spark):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert abs(jobs(3000) - jobs(30)) <= 5
+
+
+def test_walk_and_documents_build_no_table_in_the_driver(spark):
+    comments = spark.createDataFrame(forest(9), SCHEMA)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")  # any broadcast fails
+    try:
+        with pytest.raises(Exception, match="broadcast"):
+            comments.join(F.broadcast(comments.select("post_id").distinct()), "post_id").count()
+        tree = threads.euler_walk(comments)
+        assert threads.thread_documents(tree, comments).count() == tree.count() == threads.threads(tree).count()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from threadlens.operators.reads import by_score
-from threadlens.plans.skew import BLOCK_ROWS, lookup_join, rank_in_group, running
-from threadlens.session import cut_lineage, stage
+from threadlens.plans.skew import BLOCK_ROWS, rank_in_group, running
+from threadlens.session import stage
 
 THREAD_ROWS = 100_000  # threads above are not walked inside one task
 
@@ -33,11 +33,12 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
 
     `path` holds the sibling ranks from the root down, so sorting by it is a pre-order walk. Ancestor pointers double
     each round: depth d needs about log2(d) joins instead of d. A comment whose chain meets a missing parent drops out
-    at once; a round that settles nobody leaves only cycles, which drop out too.
+    at once; a round that settles nobody leaves only cycles, which drop out too. The joins of this module are merge joins
+    by hint: by its compressed bytes a side of a million ids passes for small, and would be built in the driver.
     """
     slim = comments.select("post_id", "comment_id", "parent_id", "score")
     ranked = sibling_rank(slim, max_rows)
-    nodes = cut_lineage(
+    nodes = stage(
         ranked.select(
             "post_id",
             "comment_id",
@@ -45,7 +46,8 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
             F.array("sibling_rank").alias("path"),
             F.col("comment_id").alias("thread_id"),
             F.coalesce(F.col("parent_id") == F.col("post_id"), F.lit(False)).alias("done"),
-        )
+        ),
+        "tree",
     )
     settled, pending = nodes.filter("done"), nodes.filter("not done")
     left = pending.count()
@@ -58,8 +60,8 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
             F.col("thread_id").alias("_thread"),
             F.col("done").alias("_done"),
         )
-        step = lookup_join(pending, known, ["post_id", "anc"], "inner", max_rows, left)
-        step = cut_lineage(
+        step = pending.join(known.hint("merge"), ["post_id", "anc"])
+        step = stage(
             step.select(
                 "post_id",
                 "comment_id",
@@ -67,7 +69,8 @@ def build_tree(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
                 F.concat("_path", "path").alias("path"),
                 F.col("_thread").alias("thread_id"),
                 F.col("_done").alias("done"),
-            )
+            ),
+            "tree",
         )
         settled, pending = settled.unionByName(step.filter("done")), step.filter("not done")
         rest = pending.count()
@@ -91,8 +94,9 @@ def _tour(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
     first = ranked.filter("sibling_rank = 1").select("post_id", F.col("parent_id").alias("comment_id"), F.col("comment_id").alias("_first"))
     after = ranked.select("post_id", "parent_id", (F.col("sibling_rank") - 1).alias("sibling_rank"), F.col("comment_id").alias("_next"))
     present = ranked.select("post_id", F.col("comment_id").alias("parent_id"), F.lit(True).alias("_known"))
-    nodes = ranked.join(first, ["post_id", "comment_id"], "left").join(after, ["post_id", "parent_id", "sibling_rank"], "left")
-    nodes = nodes.join(present, ["post_id", "parent_id"], "left")
+    nodes = ranked.join(first.hint("merge"), ["post_id", "comment_id"], "left")
+    nodes = nodes.join(after.hint("merge"), ["post_id", "parent_id", "sibling_rank"], "left")
+    nodes = nodes.join(present.hint("merge"), ["post_id", "parent_id"], "left")
     top = F.coalesce(F.col("parent_id") == F.col("post_id"), F.lit(False))
     climb = ~top & F.col("_known").isNotNull()
     down = nodes.select(
@@ -122,7 +126,7 @@ def _tour(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
             F.col("nxt").alias("_nxt"), F.col("nxt_up").alias("_nxt_up"), F.col("ok").alias("_ok"),
             F.col("s_pre").alias("_pre"), F.col("s_depth").alias("_depth"),
         )
-        moving = elements.filter(has_next).join(target, ["post_id", "nxt", "nxt_up"], "left")
+        moving = elements.filter(has_next).join(target.hint("merge"), ["post_id", "nxt", "nxt_up"], "left")
         moving = moving.select(
             "post_id", "node", "up", F.col("_nxt").alias("nxt"), F.col("_nxt_up").alias("nxt_up"), F.col("_ok").alias("ok"),
             (F.col("s_pre") + F.col("_pre")).alias("s_pre"), (F.col("s_depth") + F.col("_depth")).alias("s_depth"),
@@ -154,7 +158,7 @@ def _roots(nodes: DataFrame) -> DataFrame:
         known = settled.unionByName(pending).select(
             "post_id", F.col("comment_id").alias("anc"), F.col("anc").alias("_anc"), F.col("done").alias("_done")
         )
-        step = pending.drop("done").join(known, ["post_id", "anc"])
+        step = pending.drop("done").join(known.hint("merge"), ["post_id", "anc"])
         step = stage(step.select(*nodes.columns, F.col("_anc").alias("anc"), F.col("_done").alias("done")), "roots")
         settled, pending = settled.unionByName(step.filter("done")), step.filter("not done")
         rest = pending.count()
@@ -243,7 +247,7 @@ def euler_walk(comments: DataFrame, max_rows: int | None = None) -> DataFrame:
         keys = F.broadcast(big.select("post_id", "thread_id"))
         large = rows.join(keys, ["post_id", "thread_id"], "left_semi")
         walked = _tour(large.drop("thread_id"), max_rows).drop("thread_id")
-        walked = stage(walked.join(large.select("post_id", "comment_id", "thread_id"), ["post_id", "comment_id"]), "walk-large")
+        walked = stage(walked.join(large.select("post_id", "comment_id", "thread_id").hint("merge"), ["post_id", "comment_id"]), "walk-large")
         first = walked.filter(is_top).select("post_id", "thread_id", F.col("preorder").alias("_first"))
         starts = F.broadcast(first.join(big, ["post_id", "thread_id"]))
         walked = walked.join(starts, ["post_id", "thread_id"]).withColumn("position", F.col("preorder") - F.col("_first") + 1)
@@ -297,11 +301,11 @@ def thread_documents(tree: DataFrame, comments: DataFrame, max_rows: int | None
     In pre-order a document is the concatenation of its fragments: a comment's opening, then the brackets that close
     before the next comment, which only depend on the next depth. That neighbour comes by a join on its number.
     """
-    walk = cut_lineage(flatten_tree(tree, max_rows).select("post_id", "comment_id", "depth", "preorder"))
+    walk = stage(flatten_tree(tree, max_rows).select("post_id", "comment_id", "depth", "preorder"), "documents-walk")
     following = walk.select("post_id", (F.col("preorder") - 1).alias("preorder"), F.col("depth").alias("_next"))
-    walk = walk.join(following, ["post_id", "preorder"], "left")
+    walk = walk.join(following.hint("merge"), ["post_id", "preorder"], "left")
     fields = [c for c in comments.columns if c != "depth"]
-    rows = walk.join(comments.drop("post_id", "depth"), "comment_id")
+    rows = walk.join(comments.drop("post_id", "depth").hint("merge"), "comment_id")
     js = F.to_json(F.struct(*fields, "depth"), {"ignoreNullFields": "false"})
     nxt, depth = F.col("_next"), F.col("depth")
     closing = F.when(nxt.isNull(), F.concat(F.repeat(F.lit("]}"), depth + 1), F.lit("]"))).when(
