@@ -253,3 +253,16 @@ def test_loads_beside_each_other(spark):
         rewrite.result(), late.result()
     assert "t1_c99" in {r.comment_id for r in tables.read("comments").collect()}
     assert tables.read("comments").count() == 13
+
+
+def test_dump_is_compressed_and_whole(spark, tmp_path):
+    import glob
+
+    from workload import queries
+
+    path = queries._dump(spark, "/root/testdata/sf0.001")
+    files = glob.glob(f"{path.removeprefix('file:')}/load_no=*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    raw = queries._raw(spark, "/root/testdata/sf0.001", "posts").unionByName(queries._raw(spark, "/root/testdata/sf0.001", "comments"))
+    for load in (1, 2):
+        assert queries._items(spark, "/root/testdata/sf0.001", load).count() == raw.filter(f"load_no = {load}").count()

@@ -24,7 +24,7 @@ def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.da
     """
     now = F.lit(ingest_ts or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
     staging = f"{tables.root}/_staging/{uuid.uuid4().hex}"
-    items.write.mode("overwrite").parquet(staging)
+    items.write.mode("overwrite").parquet(staging, compression="zstd")
     items = tables.spark.read.schema(items.schema).parquet(staging)
     raw_posts, raw_comments = ing.split_items(items)
     good = {
@@ -58,7 +58,7 @@ def load_batch(tables: Tables, items: DataFrame, batch_id: int, ingest_ts: dt.da
 
 def _stage(tables: Tables, name: str, rows: DataFrame) -> str:
     path = tables.pending(name)
-    rows.drop("batch_id").write.parquet(path)
+    rows.drop("batch_id").write.parquet(path, compression="zstd")
     return path
 
 

@@ -185,7 +185,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in STORED:
         return view
     path = scratch_path(spark, name)
-    view.write.parquet(path)
+    view.write.parquet(path, compression="zstd")
     _PATHS[key] = path
     return read_parquet(spark, path)
 

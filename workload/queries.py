@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
@@ -46,15 +47,32 @@ def _raw(spark: SparkSession, sf: str, kind: str) -> DataFrame:
 
 
 _DUMPS: dict[tuple[str, str], str] = {}
+DUMP_ROWS = 50_000  # items of a dump file
+
+
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
 
 
 def _dump(spark: SparkSession, sf: str) -> str:
-    """Raw items of both kinds as a JSON dump, one folder per load; written once per session and data folder."""
+    """Raw items of both kinds as a JSON dump, one folder per load; written once per session and data folder.
+
+    Files are compressed and bounded, since a reader cannot split them. Both loads are written side by side, so that a
+    task need not sort (and spill) its items by load first.
+    """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _DUMPS:
         path = scratch_path(spark, "dump")
         both = _raw(spark, sf, "posts").unionByName(_raw(spark, sf, "comments"))
-        both.write.partitionBy("load_no").json(path)
+        with _conf(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+            both.write.partitionBy("load_no").options(compression="gzip", maxRecordsPerFile=DUMP_ROWS).json(path)
         _DUMPS[key] = path
     return _DUMPS[key]
 
@@ -162,7 +180,7 @@ def stream_load(spark, sf):
     dump, checkpoint = scratch_path(spark, "dump"), scratch_path(spark, "stream")
     at = dt.datetime.fromisoformat(INGEST_TS)
     for number in (1, 2):
-        _items(spark, sf, number).write.mode("append").json(dump)
+        _items(spark, sf, number).write.mode("append").json(dump, compression="gzip")
         ingest_stream(tables, dump, checkpoint, files_per_batch=5, ingest_ts=at).awaitTermination()
     ids = tables.read("posts").select(F.col("post_id").alias("comment_id"))
     return tables.read("comments").select("comment_id").unionByName(ids)
@@ -187,7 +205,7 @@ def _mixed_loads(spark: SparkSession, sf: str) -> Tables:
     tables = Tables(spark, scratch_path(spark, "tables"))
     dump, checkpoint = scratch_path(spark, "dump"), scratch_path(spark, "stream")
     at = dt.datetime.fromisoformat(INGEST_TS)
-    _items(spark, sf, 1).write.json(dump)
+    _items(spark, sf, 1).write.json(dump, compression="gzip")
     ingest_stream(tables, dump, checkpoint, ingest_ts=at).awaitTermination()
     workflow.ingest(tables, _items(spark, sf, 2), "update", at)
     ingest_stream(tables, dump, checkpoint, ingest_ts=at).awaitTermination()
