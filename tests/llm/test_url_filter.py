@@ -68,3 +68,29 @@ def test_expression_equals_trees(spark):
     assert boosting.fit(x, np.ones(400)) is None
     assert boosting.calibrate(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 1]), 0.9) == 1.5
     assert boosting.calibrate(np.array([1.0, 1.0]), np.array([0, 0]), 0.9) is None
+
+
+def test_fit_counts_every_labelled_row(spark):
+    """A suffix that only a few rows in many have: a fit on 20,000 rows picked by a hash has next to no figure for it."""
+    many = spark.range(60_000).select(F.concat(F.lit("http://h"), "id", F.lit(".good.org/p")).alias("url"), (F.col("id") % 50 == 0).cast("int").alias("unwanted"))
+    rare = spark.range(600).select(F.concat(F.lit("http://r"), "id", F.lit(".rare.net/p")).alias("url"), F.lit(1).alias("unwanted"))
+    rows = many.unionByName(rare)
+    model = U.fit(rows)
+    part = F.pmod(F.xxhash64("url", F.lit(U.PARTS)), F.lit(U.PARTS))
+    n = rare.filter(part < U.PARTS // 2).count()
+    mean = rows.agg(F.avg("unwanted")).first()[0]
+    p = (n + 10 * mean) / (n + 10)
+    assert n > 200 and abs(model.suffixes["rare.net"] - np.log(p / (1 - p))) < 1e-9
+
+
+def test_frame_fit_tells_what_the_table_fit_tells(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 4)).round(2)
+    y = ((x[:, 0] > 0.3) & (x[:, 2] < 0.5)).astype(int)
+    frame = spark.createDataFrame([(*map(float, r), int(l)) for r, l in zip(x, y)], "a double, b double, c double, d double, y int")
+    model = boosting.fit_frame(frame, list("abcd"))
+    assert ((boosting.scores(model, x) > 0) == y).mean() > 0.97
+    assert boosting.fit_frame(frame.filter("y = 1"), list("abcd")) is None
+    scored = spark.createDataFrame([(3.0, 1), (2.0, 1), (1.0, 0), (0.0, 1)], "score double, y int")
+    assert 1.0 < boosting.calibrate_frame(scored, 0.9) < 2.0
+    assert boosting.calibrate_frame(scored.filter("y = 0"), 0.9) is None
