@@ -74,3 +74,22 @@ def test_shuffled_joins_give_the_same_ranking(spark, monkeypatch):
     docs = [(n, " ".join(["alpha", "beta", "the"][: 1 + n % 3] * (1 + n % 5))) for n in range(40)]
     items = [(0, "alpha the"), (1, "beta")]
     assert run(spark, docs, items, top=7) == brute(docs, items, top=7)
+
+
+def test_postings_and_scores_are_not_staged_row_by_row(spark, monkeypatch):
+    held, staged = [], S.staged
+    monkeypatch.setattr(S, "staged", lambda df, *a: (held.append(out := staged(df, *a)), out)[1])
+    vocab = [f"w{i}" for i in range(40)]
+    docs = [(n, " ".join(vocab)) for n in range(300)]
+    items = [(i, " ".join(vocab[i:])) for i in range(10)]
+    assert run(spark, docs, items, top=5) == brute(docs, items, top=5)
+    assert sum(df.count() for df in held) < 300 * 40  # one row a document, not one a posting
+
+
+def test_slices_hold_few_cells(spark, monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(S, "CELLS", 50)
+    vocab = [f"w{i}" for i in range(30)]
+    docs = [(n if n % 9 else None, " ".join(rng.choices(vocab, k=rng.randrange(1, 90)))) for n in range(200)]
+    items = [(i, " ".join(rng.choices(vocab, k=6))) for i in range(12)] + [(None, "w1 w1 w2")]
+    assert [r[:2] + r[3:] for r in run(spark, docs, items, top=4)] == [r[:2] + r[3:] for r in brute(docs, items, top=4)]
