@@ -215,6 +215,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.join(named, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), "fp", "hash", "component", "label")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col).cast("bigint"), text_of(text_col))
+
+
+def row_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_cell: int = MAX_CELL) -> DataFrame:
+    """Links (a, b), a < b, between the keys of rows: each with the first row of its fingerprint, and those as `links` says."""
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = staged(fingerprints(keyed, "key", "text", words).select("id", "fp"), "simhash-prints")
+    first = staged(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    found = staged(links(first.select("fp"), max_cell), "simhash-links")
+    far = found.join(first.toDF("a", "x"), "a").join(first.toDF("b", "y"), "b").select("x", "y")
+    pairs = far.union(rows.join(first, "fp").select("id", "first"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
+
+
 def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
