@@ -118,3 +118,29 @@ def test_components_long_chain_and_star(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_groups(docs).count() == 0 and S.drop_near_duplicates(docs).count() == 0
+
+
+def test_small_graph_leaves_few_files_a_round(spark, monkeypatch):
+    from threadlens.llm import components as C
+
+    cores, cuts = spark.sparkContext.defaultParallelism, []
+    cut = C.cut_lineage
+
+    def watched(df):
+        out = cut(df)
+        cuts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(C, "cut_lineage", watched)
+    edges = [(i, i + 1) for i in range(1, 300) if i % 50]
+    rows = spark.createDataFrame(edges, "a long, b long").repartition(40 * cores)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 10 * cores)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.label for r in components(rows).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: (i - 1) // 50 * 50 + 1 for i in range(1, 301)}
+    assert cuts and max(cuts) <= 2 * cores

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadlens.llm.common import staged, text_of
+from threadlens.llm.common import gathered, staged, text_of
 from threadlens.llm.components import components
 from threadlens.session import cut_lineage
 
@@ -34,6 +34,7 @@ SEED = 42
 WORDS = 3
 DISTANCE = 3
 MAX_CELL = 20_000
+ROWS = 2000  # fingerprints or texts a task looks at in steps that write little
 GRIDS = (6, 12, 24)  # groups; all but DISTANCE of them agree
 EVEN = 0x5555_5555_5555_5555
 SHORT_RUN = 16
@@ -191,7 +192,8 @@ def links(fps: DataFrame, max_cell: int = MAX_CELL) -> DataFrame:
     for groups in GRIDS:
         cells, more = _cells(rest, groups), None
         if groups != GRIDS[-1]:
-            big = staged(cells.groupBy("grid", "cell").count().filter(F.col("count") > max_cell).select("grid", "cell"), "simhash-big")
+            big = cells.groupBy("grid", "cell").count().filter(F.col("count") > max_cell).select("grid", "cell")
+            big = staged(gathered(big, rest.count(), ROWS), "simhash-big")
             if not big.isEmpty():
                 more = cut_lineage(cells.join(big, ["grid", "cell"], "left_semi").select("fp").distinct())
                 cells = cells.join(big, ["grid", "cell"], "left_anti")
@@ -223,8 +225,8 @@ def row_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """Links (a, b), a < b, between the keys of rows: each with the first row of its fingerprint, and those as `links` says."""
     keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     rows = staged(fingerprints(keyed, "key", "text", words).select("id", "fp"), "simhash-prints")
-    first = staged(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    found = staged(links(first.select("fp"), max_cell), "simhash-links")
+    first = staged(gathered(rows.groupBy("fp").agg(F.min("id").alias("first")), rows.count(), ROWS), "simhash-distinct")
+    found = staged(gathered(links(first.select("fp"), max_cell), first.count(), ROWS), "simhash-links")
     far = found.join(first.toDF("a", "x"), "a").join(first.toDF("b", "y"), "b").select("x", "y")
     pairs = far.union(rows.join(first, "fp").select("id", "first"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
@@ -251,6 +253,6 @@ def drop_later(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -
     out = groups.select("_n_id", "_n_hash").distinct().join(
         keep.toDF("_k_id", "_k_hash"), F.col("_n_id").eqNullSafe(F.col("_k_id")) & (F.col("_n_hash") == F.col("_k_hash")), "left_anti"
     )
-    dropped = staged(out, "simhash-dropped")
+    dropped = staged(gathered(out, groups.count(), ROWS), "simhash-dropped")
     on = F.col(id_col).eqNullSafe(F.col("_n_id")) & (F.xxhash64(text_of(text_col)) == F.col("_n_hash"))
     return docs.join(dropped, on, "left_anti")
