@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline as P
 from tests.conftest import SF_SMALL
-from threadlens.llm import shingle_join as J
+from threadlens.llm import shingle_join as J, simhash
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -145,3 +145,24 @@ def test_large_cells_in_tiles_against_all_pairs(spark, monkeypatch, block, span)
     monkeypatch.setattr(J, "SPAN", span, raising=False)
     monkeypatch.setattr(J, "_common", lambda *_: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
     assert {r.doc_id for r in J.drop_near_duplicates(docs, max_cell=4).collect()} == slow_kept(rows)
+
+
+def test_stage_looks_at_all_pairs_of_the_groups_that_fingerprints_make(spark, monkeypatch):
+    """Without cells of shingles, what is left are the similar pairs within op 1's groups: those, and all of those."""
+    rows = sorted(planted() + [(1000 + i, t) for i, t in crowd_below_the_similarity(60)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.component for r in simhash.near_groups(docs).collect()}
+    sets, label = {i: shingle_set(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and group[i] == group[j] and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = root(i), root(j)
+                label[max(x, y)] = min(x, y)
+    monkeypatch.setattr(J, "_shared", lambda rows, bounds: iter(()))
+    assert {r.doc_id for r in P.near(spark, docs, SF_SMALL).collect()} == {root(i) for i in sets}

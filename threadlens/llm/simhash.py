@@ -209,11 +209,12 @@ def links(fps: DataFrame, max_cell: int = MAX_CELL) -> DataFrame:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_cell: int = MAX_CELL) -> DataFrame:
     """(id, fp, hash, component, label): the component is the smallest id that links reach, the label its smallest print."""
     rows = staged(fingerprints(docs, id_col, text_col, words), "simhash-prints")
-    first = staged(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    labels = components(staged(links(first.select("fp"), max_cell), "simhash-links"))
+    first = staged(gathered(rows.groupBy("fp").agg(F.min("id").alias("first")), rows.count(), ROWS), "simhash-distinct")
+    prints = first.count()
+    labels = components(staged(gathered(links(first.select("fp"), max_cell), prints, ROWS), "simhash-links"))
     joined = first.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     names = joined.groupBy("label").agg(F.min("first").alias("component"))
-    named = cut_lineage(joined.join(names, "label").select(F.col("fp").alias("_fp"), "component", "label"))
+    named = cut_lineage(gathered(joined.join(names, "label").select(F.col("fp").alias("_fp"), "component", "label"), prints, ROWS))
     return rows.join(named, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), "fp", "hash", "component", "label")
 
 
@@ -222,14 +223,10 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def row_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_cell: int = MAX_CELL) -> DataFrame:
-    """Links (a, b), a < b, between the keys of rows: each with the first row of its fingerprint, and those as `links` says."""
+    """The groups of `near_groups` by the keys of rows: (a, b), a < b, of the smallest key of a group with each other one."""
     keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    rows = staged(fingerprints(keyed, "key", "text", words).select("id", "fp"), "simhash-prints")
-    first = staged(gathered(rows.groupBy("fp").agg(F.min("id").alias("first")), rows.count(), ROWS), "simhash-distinct")
-    found = staged(gathered(links(first.select("fp"), max_cell), first.count(), ROWS), "simhash-links")
-    far = found.join(first.toDF("a", "x"), "a").join(first.toDF("b", "y"), "b").select("x", "y")
-    pairs = far.union(rows.join(first, "fp").select("id", "first"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
+    groups = near_groups(keyed, "key", "text", words, max_cell)
+    return groups.select(F.col("component").alias("a"), F.col("key").alias("b")).filter("a < b").distinct()
 
 
 def as_hex(fp: Column) -> Column:
